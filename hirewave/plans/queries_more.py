@@ -1,0 +1,3 @@
+"""Further registered queries (filled in per operator family)."""
+
+from __future__ import annotations
