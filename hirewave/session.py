@@ -25,6 +25,7 @@ def build_session(master: str = "local[8]", app: str = "hirewave",
     """Local session for tests and the bench; clusters pass their own conf."""
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "8g"))
     for k, v in {**JOB_CONF, **(extra or {})}.items():
