@@ -75,13 +75,6 @@ POSTED_AGES_SQL = """select event_id, ts as scraped_at,
       else 'Just now' end as posted_text
 from events"""
 
-# search result counts by keyword x experience level x work type, from lineitem
-RESULT_ROWS_SQL = """select concat(l_returnflag, l_linestatus) as keyword,
- cast(l_linenumber % 5 + 1 as string) as experience,
- cast(l_suppkey % 3 + 1 as string) as work_type
-from lineitem"""
-
-
 def register_base_tables(spark: SparkSession, sf_dir: str, tables: list[str] | None = None) -> None:
     """Register the driver tables of ``sf_dir`` as temp views (lazy scans)."""
     for name in tables or BASE_TABLES:
@@ -103,14 +96,15 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def board_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Board B shaped rows (string fields + two list fields)."""
+    """Board B shaped rows: string fields plus two list fields."""
     from pyspark.sql import functions as F
+
+    from hirewave.operators.skills import parse_auto
     postings(spark, sf_dir).createOrReplaceTempView("postings")
     raw = spark.sql(BOARD_B_SQL)
     return (raw
-            .withColumn("job_qualification",
-                        F.coalesce(F.split(F.regexp_replace("job_qualification_text", r"^\['|'\]$|\n", ""), "',? '"),
-                                   F.array().cast("array<string>")))
+            .withColumn("job_qualification", F.coalesce(parse_auto(F.col("job_qualification_text")),
+                                                        F.array().cast("array<string>")))
             .withColumn("job_description", F.split(F.col("job_description_text"), " "))
             .drop("job_qualification_text", "job_description_text"))
 
@@ -130,3 +124,70 @@ def with_ctes(body: str, **ctes: str) -> str:
     if not ctes:
         return body
     return "with " + ",\n".join(f"{k} as ({v})" for k, v in ctes.items()) + "\n" + body
+
+
+# ---------------------------------------------------------------- harvest inputs
+def _search_keywords() -> list[str]:
+    from hirewave.functions import rules
+    kws = [kw for _, kws in rules.TITLE_MAPPING for kw in kws]
+    # plus: a department-only title, an unknown keyword, a lower-case spelling
+    return kws + ["Full Stack", "Plumber", "data scientist"]
+
+
+SEARCH_KEYWORDS = _search_keywords()
+
+# each stored list page is the result of searching one keyword
+PAGES_KW_SQL = ("select page_id, url, html, split_part('" + "|".join(SEARCH_KEYWORDS)
+                + "', '|', cast(page_id % " + str(len(SEARCH_KEYWORDS)) + " as int) + 1) as keyword from pages")
+
+# detail pages (board B markup) wrapped around postings rows
+DETAIL_PAGES_SQL = """select rid as page_id, job_url as url, concat('<html><body><h2> ', title, ' </h2>',
+ '<span data-testid="viewJobCompanyName">', company, '</span>',
+ case when location is null then '' else concat('<span data-testid="viewJobCompanyLocation">', location, '</span>') end,
+ '<span data-testid="viewJobBodyJobDetailsJobType">', job_type, '</span>',
+ '<span data-testid="viewJobBodyJobCompensation">$', cast(rid % 150 + 50 as string), ',000 &amp; up</span>',
+ '<span data-testid="viewJobBodyJobPostingTimestamp"><span data-testid="detailText">', cast(rid % 9 + 1 as string), ' days ago</span></span>',
+ case when rid % 4 = 0 then '' else concat('<div data-testid="viewJobQualificationsContainer"><ul><li>', org, '</li><li>', role, '</li><li>', domain, '</li></ul></div>') end,
+ '<div data-testid="viewJobBodyJobFullDescriptionContent"><p>', description, '</p><p>', department, '</p></div>',
+ '</body></html>') as html from postings"""
+
+# list pages with a pager: page_id % 5 + 1 pages, the current one is page_id % 3 + 1
+LIST_PAGES_SQL = ("select page_id, url, cast(page_id % 3 + 1 as int) as current_page, concat(html, '<nav class=\"pager\">', "
+                  + ", ".join(
+                      f"case when page_id % 5 + 1 >= {k} then concat('<a class=\"chakra-link css-1wxsdwr\" "
+                      f"aria-label=\"page {k}\" href=\"', url, '&pn={k}\">{k}</a>') else '' end"
+                      for k in range(1, 6))
+                  + ", '</nav>') as html from pages")
+
+RESULT_ROWS_SQL = """select concat(l_returnflag, l_linestatus, cast(l_linenumber as string)) as keyword,
+ cast(least(l_partkey % 8, 4) + 1 as string) as experience,
+ cast(l_suppkey % 3 + 1 as string) as work_type
+from lineitem"""
+
+_FMT = ("case when n >= 1000 then concat(cast(cast(floor(n / 1000) as bigint) as string), ',', "
+        "lpad(cast(n % 1000 as string), 3, '0')) else cast(n as string) end")
+# result labels per (keyword, experience) as the search page shows them
+RESULT_LABELS_SQL = f"""select keyword, experience, n,
+ case when n % 10 = 0 then 'No new jobs' when n % 10 = 1 then concat('  ', {_FMT}, ' new jobs')
+      else concat({_FMT}, ' new jobs') end as label
+from (select keyword, experience, count(*) as n from result_rows group by keyword, experience) c"""
+
+
+def pages_kw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_base_tables(spark, sf_dir, ["pages"])
+    return spark.sql(PAGES_KW_SQL)
+
+
+def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    postings(spark, sf_dir).createOrReplaceTempView("postings")
+    return spark.sql(DETAIL_PAGES_SQL)
+
+
+def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_base_tables(spark, sf_dir, ["pages"])
+    return spark.sql(LIST_PAGES_SQL)
+
+
+def result_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result_rows(spark, sf_dir).createOrReplaceTempView("result_rows")
+    return spark.sql(RESULT_LABELS_SQL)

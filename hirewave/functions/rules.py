@@ -259,3 +259,17 @@ BOARD_B_RENAMES: dict[str, str] = {
 
 # source tables of the silver job, sorted
 SOURCE_TABLES: list[str] = ["board_a", "board_b"]
+
+# --------------------------------------------------------------------------
+# FIXED VALUES — detail-page markers of board B (data-testid attributes).
+# --------------------------------------------------------------------------
+DETAIL_SPANS: list[tuple[str, str]] = [
+    ("company", "viewJobCompanyName"),
+    ("location", "viewJobCompanyLocation"),
+    ("job_type", "viewJobBodyJobDetailsJobType"),
+    ("salary", "viewJobBodyJobCompensation"),
+    ("posted_on", "viewJobBodyJobPostingTimestamp"),
+]
+QUALIFICATIONS_TESTID = "viewJobQualificationsContainer"
+DESCRIPTION_TESTID = "viewJobBodyJobFullDescriptionContent"
+PAGER_LINK_CLASS = "chakra-link css-1wxsdwr"
