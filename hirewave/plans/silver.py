@@ -56,13 +56,22 @@ def silver_exploded(unexploded: DataFrame) -> DataFrame:
 
 @dataclass
 class SilverRun:
+    """The outputs of one run.  ``exploded`` is built on first use: its ids
+    need a checkpoint job, which callers that only want counts never pay."""
+
     unexploded: DataFrame
-    exploded: DataFrame
     counts: DataFrame
+    _exploded: DataFrame | None = None
+
+    @property
+    def exploded(self) -> DataFrame:
+        if self._exploded is None:
+            self._exploded = silver_exploded(self.unexploded)
+        return self._exploded
 
 
 def build(postings: DataFrame, companies: DataFrame, skills_mode: str = "row") -> SilverRun:
     base, kept = enrich.prepare_companies(companies)
     unexploded = clean.drop_managers(clean.add_verticals(enriched(postings, kept, skills_mode)))
     counts = quality.funnel_counts(postings, base, kept, unexploded)
-    return SilverRun(unexploded, silver_exploded(unexploded), counts)
+    return SilverRun(unexploded, counts)
