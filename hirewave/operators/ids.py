@@ -19,6 +19,7 @@ The result equals ``row_number() over (partition by group order by order)``
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,10 +32,16 @@ def sequence_ids(df: DataFrame, group_cols: list[str], order_cols: list[str],
     shared_dir(spark)  # checkpoint target: the cluster's shared folder
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c).asc_nulls_first() for c in group_cols + order_cols]
-    tagged = (df.repartitionByRange(n, *keys)
-                .sortWithinPartitions(*keys)
-                .withColumns({"_pid": F.spark_partition_id(), "_mono": F.monotonically_increasing_id()})
-                .checkpoint(eager=True))
+    # The range bounds are sampled by a job of their own; keeping the input
+    # for the checkpoint job saves computing the upstream plan twice.
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        tagged = (src.repartitionByRange(n, *keys)
+                     .sortWithinPartitions(*keys)
+                     .withColumns({"_pid": F.spark_partition_id(), "_mono": F.monotonically_increasing_id()})
+                     .checkpoint(eager=True))
+    finally:
+        src.unpersist()
     # (partition, group) pairs: a partition holds a contiguous key range, so
     # there are at most partitions + groups - 1 of them.
     spans = (tagged.groupBy("_pid", *group_cols)
