@@ -75,14 +75,22 @@ POSTED_AGES_SQL = """select event_id, ts as scraped_at,
       else 'Just now' end as posted_text
 from events"""
 
-def register_base_tables(spark: SparkSession, sf_dir: str, tables: list[str] | None = None) -> None:
-    """Register the driver tables of ``sf_dir`` as temp views (lazy scans)."""
-    for name in tables or BASE_TABLES:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+_SCANS: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Lazy scan of one driver table; the DataFrame (file listing, footer
+    schema) is reused within a session — the driver tables are read-only."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _SCANS[key]
+
+
+def register_base_tables(spark: SparkSession, sf_dir: str, tables: list[str] | None = None) -> None:
+    """Register the driver tables of ``sf_dir`` as temp views (lazy scans)."""
+    for name in tables or BASE_TABLES:
+        table(spark, sf_dir, name).createOrReplaceTempView(name)
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:

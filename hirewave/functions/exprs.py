@@ -22,7 +22,17 @@ def sql_str(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 # ---------------------------------------------------------------- titles
+def title_taxonomy_col(column: str = "title") -> Column:
+    """The title chain from its SQL text: one JVM parse instead of hundreds of
+    Python -> JVM calls to build the same expression."""
+    return F.expr(title_taxonomy_sql(_q(column)))
+
+
 def title_taxonomy(title: Column) -> Column:
     expr = None
     for label, patterns in rules.TITLE_RULES:
@@ -44,6 +54,16 @@ def title_taxonomy_sql(title: str = "title") -> str:
 
 
 # ---------------------------------------------------------------- skills
+def skill_taxonomy_col(column: str = "hard_skills") -> Column:
+    """Skill chain on a scalar column, built from its SQL text."""
+    return F.expr(skill_taxonomy_sql(_q(column)))
+
+
+def skill_taxonomy_each(column: str = "hard_skills") -> Column:
+    """Skill chain applied to every element of an array column (``transform``)."""
+    return F.expr(f"transform({_q(column)}, skill -> {skill_taxonomy_sql('skill')})")
+
+
 def skill_taxonomy(skill: Column) -> Column:
     low = F.lower(skill)
     expr = None

@@ -66,7 +66,7 @@ def clean_title(df: DataFrame) -> DataFrame:
 
 # CLN-14
 def add_title_cleaned(df: DataFrame) -> DataFrame:
-    return df.withColumn("title_cleaned", exprs.title_taxonomy(F.col("title")))
+    return df.withColumn("title_cleaned", exprs.title_taxonomy_col("title"))
 
 
 # CLN-17

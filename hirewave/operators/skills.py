@@ -89,12 +89,12 @@ def parse_skills(df: DataFrame, column: str = "hard_skills", mode: str = "row")
 # CLN-15
 def map_skills(df: DataFrame, column: str = "hard_skills") -> DataFrame:
     """Skill taxonomy on every element, in place (narrow, no shuffle)."""
-    return df.withColumn(column, F.transform(F.col(column), exprs.skill_taxonomy))
+    return df.withColumn(column, exprs.skill_taxonomy_each(column))
 
 
 def map_skill(df: DataFrame, column: str = "hard_skills") -> DataFrame:
     """Skill taxonomy on a scalar (already exploded) skill column."""
-    return df.withColumn(column, exprs.skill_taxonomy(F.col(column)))
+    return df.withColumn(column, exprs.skill_taxonomy_col(column))
 
 
 # GEN-01
