@@ -108,15 +108,31 @@ def result_count(label: Column) -> Column:
 
 
 # HRV-07
-def page_plan(counts: DataFrame, total_col: str = "total", page_size: int = rules.PAGE_SIZE_A) -> DataFrame:
+PAGE_CHUNK = 100_000
+
+
+def page_plan(counts: DataFrame, total_col: str = "total", page_size: int = rules.PAGE_SIZE_A,
+              chunk: int = PAGE_CHUNK) -> DataFrame:
     """One row per result page: pages = ceil(total / size), start = (page - 1) * size.
 
-    total = 0 gives no page (``sequence(1, 0)`` would count down, so it is guarded).
+    total = 0 gives no page (``sequence(1, 0)`` would count down, so it is
+    guarded).  An uncapped total can ask for millions of pages from one input
+    row; pages are therefore generated in chunks of ``chunk``: one row per
+    chunk is spread over the tasks first, then each chunk expands, so no
+    task expands more than ``chunk`` pages of one keyword.
     """
-    pages = F.ceil(F.col(total_col) / F.lit(page_size)).cast("int")
-    seq = F.when(pages > 0, F.sequence(F.lit(1), pages)).otherwise(F.array().cast("array<int>"))
-    return (counts.withColumn("page", F.explode(seq))
-                  .withColumn("start", (F.col("page") - 1) * F.lit(page_size)))
+    pages = F.ceil(F.col(total_col) / F.lit(page_size)).cast("long")
+    n_chunks = F.ceil(pages / F.lit(chunk)).cast("long")
+    chunks = (counts.withColumn("_pages", pages)
+                    .withColumn("_chunk", F.explode(F.when(n_chunks > 0, F.sequence(F.lit(0).cast("long"), n_chunks - 1))
+                                                     .otherwise(F.array().cast("array<long>")))))
+    # one small row per chunk: hash them over the tasks before expanding
+    chunks = chunks.repartition(F.col("_chunk"), *[F.col(c) for c in counts.columns])
+    lo = F.col("_chunk") * chunk + 1
+    hi = F.least((F.col("_chunk") + 1) * chunk, F.col("_pages"))
+    return (chunks.withColumn("page", F.explode(F.sequence(lo, hi)))
+                  .withColumn("start", (F.col("page") - 1) * F.lit(page_size))
+                  .drop("_pages", "_chunk"))
 
 
 # HRV-08
@@ -206,3 +222,68 @@ def union_boards(board_a: DataFrame, board_b: DataFrame) -> DataFrame:
     """Board B mapped onto board A names, lists joined, bag union by name."""
     b = join_lists(board_b).withColumnsRenamed(rules.BOARD_B_RENAMES)
     return board_a.unionByName(b, allowMissingColumns=True)
+
+
+# HRV-01, parser variant: nested markup the regexes cannot follow
+def _field_batches(batches, heading_tag: str, spans: list[tuple[str, str]]):
+    """Per Arrow batch: parse each page with the stdlib HTML parser (entities
+    decoded, nested elements followed).  Runs inside the task; pages stay
+    partitioned by Spark."""
+    from html.parser import HTMLParser
+
+    import pandas as pd
+
+    wanted = {tid: name for name, tid in spans}
+
+    class Fields(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.heading: str | None = None
+            self._heading_buf: list[str] | None = None
+            self.found: dict[str, str] = {}
+            self._stack: list[str | None] = []
+            self._bufs: dict[str, list[str]] = {}
+
+        def handle_starttag(self, tag, attrs):
+            if tag == heading_tag and self.heading is None and self._heading_buf is None:
+                self._heading_buf = []
+            if tag == "span":
+                tid = dict(attrs).get("data-testid")
+                take = tid in wanted and tid not in self.found and tid not in self._bufs
+                self._stack.append(tid if take else None)
+                if take:
+                    self._bufs[tid] = []
+
+        def handle_endtag(self, tag):
+            if tag == heading_tag and self._heading_buf is not None and self.heading is None:
+                self.heading = "".join(self._heading_buf).strip()
+                self._heading_buf = None
+            if tag == "span" and self._stack:
+                tid = self._stack.pop()
+                if tid is not None:
+                    self.found[tid] = "".join(self._bufs.pop(tid))
+
+        def handle_data(self, data):
+            if self._heading_buf is not None:
+                self._heading_buf.append(data)
+            for buf in self._bufs.values():
+                buf.append(data)
+
+    for pdf in batches:
+        rows = []
+        for html in pdf["html"]:
+            p = Fields()
+            if html is not None:
+                p.feed(html)
+                p.close()
+            rows.append([p.heading or ""] + [p.found.get(tid, "") for _, tid in spans])
+        out = pd.DataFrame(rows, columns=["job_title"] + [name for name, _ in spans])
+        out.insert(0, "page_id", pdf["page_id"].to_numpy())
+        yield out
+
+
+def page_fields_parsed(pages: DataFrame, heading_tag: str = "h1") -> DataFrame:
+    spans = list(rules.DETAIL_SPANS)
+    schema = "page_id long, job_title string, " + ", ".join(f"{name} string" for name, _ in spans)
+    return pages.select("page_id", "html").mapInPandas(
+        lambda it: _field_batches(it, heading_tag, spans), schema)

@@ -74,6 +74,15 @@ def q_detail_fields(spark, sf):
     return harvest.page_fields(fixtures.detail_pages(spark, sf), "h2")
 
 
+@register("detail_fields_parsed", O.with_stages(
+    f"select page_id, {d_heading('h2')} as job_title, "
+    + ", ".join(f"{d_span(t)} as {n}" for n, t in rules.DETAIL_SPANS) + " from detail_pages",
+    "postings", extra={"detail_pages": fixtures.DETAIL_PAGES_SQL}))
+def q_detail_fields_parsed(spark, sf):
+    """Same fields through the HTML parser (mapInPandas, Arrow batches)."""
+    return harvest.page_fields_parsed(fixtures.detail_pages(spark, sf), "h2")
+
+
 # ------------------------------------------------------------------ HRV-02 / HRV-13
 def _lists_sql(src: str, q_frag: str, d_frag: str) -> str:
     return (f"select page_id, array_to_string(q, ', ') as job_qualification, len(q) as n_qualification, "

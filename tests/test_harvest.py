@@ -111,3 +111,18 @@ def test_comma_rules_join_lists_union(spark):
     a = spark.createDataFrame([("Dev2", "c")], "title string, company string")
     u = harvest.union_boards(a, b)
     assert u.count() == 2 and "search_title" in u.columns and "description" in u.columns
+
+
+def test_page_plan_chunks_equal_whole(spark):
+    df = spark.createDataFrame([("a", 26), ("b", 1000), ("c", 0)], "keyword string, total bigint")
+    small = sorted((r["keyword"], r["page"], r["start"]) for r in harvest.page_plan(df, chunk=3).collect())
+    whole = sorted((r["keyword"], r["page"], r["start"]) for r in harvest.page_plan(df, chunk=10**6).collect())
+    assert small == whole and len(small) == 2 + 40
+
+
+def test_parsed_fields_follow_nested_markup(spark):
+    html = ('<h2>T</h2><span data-testid="viewJobCompanyName"><b>Ac</b>me &eacute;</span>'
+            '<span data-testid="viewJobBodyJobPostingTimestamp"><span data-testid="detailText">2 days ago</span></span>')
+    df = spark.createDataFrame([(1, html)], "page_id bigint, html string")
+    r = harvest.page_fields_parsed(df, "h2").first()
+    assert (r["job_title"], r["company"], r["posted_on"], r["salary"]) == ("T", "Acme é", "2 days ago", "")
