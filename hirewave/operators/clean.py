@@ -26,14 +26,26 @@ def trim_columns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 # CLN-02
+def skill_variants(df: DataFrame, soft: bool = False) -> list[str]:
+    """Skill columns present in ``df``, canonical name first."""
+    idx = 1 if soft else 0
+    names = ["soft_skills" if soft else "hard_skills"] + [a[idx] for a in rules.SKILL_COLUMN_ALIASES]
+    return [n for n in names if n in df.columns]
+
+
 def resolve_aliases(df: DataFrame) -> DataFrame:
-    """Rename producer spellings of the skill columns to hard_skills / soft_skills."""
+    """Rename the producer spelling of the skill columns to hard_skills / soft_skills.
+
+    When one scan holds files of several producers (a mergeSchema read over
+    dates written by both), several spellings are present; they are left
+    for :func:`hirewave.operators.skills.parse_skills`, which parses each by
+    its own type and coalesces them.
+    """
     renames = {}
-    for hard, soft, _ in rules.SKILL_COLUMN_ALIASES:
-        if hard in df.columns:
-            renames[hard] = "hard_skills"
-        if soft in df.columns:
-            renames[soft] = "soft_skills"
+    for soft in (False, True):
+        present = skill_variants(df, soft)
+        if len(present) == 1 and present[0] not in ("hard_skills", "soft_skills"):
+            renames[present[0]] = "soft_skills" if soft else "hard_skills"
     return df.withColumnsRenamed(renames) if renames else df
 
 

@@ -54,6 +54,16 @@ def sniff_format(df: DataFrame, column: str = "hard_skills") -> DataFrame:
 
 
 # CLN-10
+def array_siblings_to_text(df: DataFrame, column: str = "hard_skills") -> DataFrame:
+    """Entity columns that arrive as arrays are cast to text ('[a, b]')."""
+    lower = {c.lower(): c for c in df.columns}
+    casts = {lower[n.lower()]: F.col(lower[n.lower()]).cast("string")
+             for n in rules.ARRAY_SIBLING_COLUMNS
+             if n.lower() in lower and lower[n.lower()] != column
+             and isinstance(df.schema[lower[n.lower()]].dataType, ArrayType)}
+    return df.withColumns(casts) if casts else df
+
+
 def array_skills(df: DataFrame, column: str = "hard_skills") -> DataFrame:
     """True-array skills: cast the sibling entity columns to string, dedupe skills in place."""
     lower = {c.lower(): c for c in df.columns}
@@ -62,8 +72,39 @@ def array_skills(df: DataFrame, column: str = "hard_skills") -> DataFrame:
     return df.withColumns({**casts, column: F.array_distinct(F.col(column))})
 
 
+def _parse_one(df: DataFrame, name: str, mode: str) -> Column:
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, ArrayType):
+        return F.array_distinct(F.col(name))
+    if mode == "space":
+        return parse_space(F.col(name))
+    if mode == "comma":
+        return parse_comma(F.col(name))
+    return parse_auto(F.col(name))
+
+
+def coalesce_variants(df: DataFrame, mode: str = "row") -> DataFrame:
+    """Several producer spellings in one frame: each is parsed by its own type
+    (string forms per row, arrays deduped) and the results are coalesced into
+    ``hard_skills``; soft skills likewise into ``soft_skills`` (as text)."""
+    from hirewave.operators.clean import skill_variants
+    hard = skill_variants(df)
+    soft = skill_variants(df, soft=True)
+    out = df
+    if len(hard) > 1:
+        out = out.withColumn("_hard", F.coalesce(*[_parse_one(df, n, mode) for n in hard])).drop(*hard) \
+                 .withColumnRenamed("_hard", "hard_skills")
+    if len(soft) > 1:
+        out = out.withColumn("_soft", F.coalesce(*[F.col(n).cast("string") for n in soft])).drop(*soft) \
+                 .withColumnRenamed("_soft", "soft_skills")
+    return out
+
+
 def parse_skills(df: DataFrame, column: str = "hard_skills", mode: str = "row") -> DataFrame:
     """Schema-driven: arrays are deduped, strings parsed; other types pass through."""
+    from hirewave.operators.clean import skill_variants
+    if column == "hard_skills" and len(skill_variants(df)) > 1:
+        return array_siblings_to_text(coalesce_variants(df, "row" if mode == "sniff" else mode))
     dtype = df.schema[column].dataType
     if isinstance(dtype, ArrayType):
         return array_skills(df, column)

@@ -74,3 +74,26 @@ def test_sequence_ids_equal_row_number(spark):
 def test_map_skills_in_place(spark):
     df = spark.createDataFrame([(["PySpark", "Excel"],)], "hard_skills array<string>")
     assert skills.map_skills(df).first()["hard_skills"] == ["Apache Spark", "Excel"]
+
+
+def test_mixed_producers_in_one_scan(spark, tmp_dir):
+    """Dates written by both producers (other column name, string vs array) read
+    with one mergeSchema scan and parsed into one hard_skills column."""
+    import os
+
+    from hirewave.operators import clean
+    from hirewave.sinks import writers
+    from hirewave.sources import partitions
+    root = os.path.join(tmp_dir, "raw")
+    a = spark.createDataFrame([("u1", "['x', 'y', 'x']", "2024", "01", "03"),
+                               ("u2", "['p' 'q'\n 'p']", "2024", "01", "03")],
+                              "job_url string, `HARD SKILLS` string, year string, month string, day string")
+    b = spark.createDataFrame([("u3", ["m", "n", "m"], "2024", "01", "04")],
+                              "job_url string, `HARD_SKILLS#0` array<string>, year string, month string, day string")
+    writers.write_partitioned(a, root)
+    writers.write_partitioned(b, root, mode="append")
+    raw = partitions.read_partitioned(spark, root, merge_schema=True)
+    out = skills.parse_skills(clean.resolve_aliases(raw))
+    got = {r["job_url"]: r["hard_skills"] for r in out.collect()}
+    assert got == {"u1": ["x", "y"], "u2": ["p", "q", "p"], "u3": ["m", "n"]}
+    assert "HARD SKILLS" not in out.columns and "HARD_SKILLS#0" not in out.columns
