@@ -121,6 +121,35 @@ def q_raw_zone(spark, sf):
     return out
 
 
+# ------------------------------------------------------------------ SRC-10 (f): mixed producers, one scan
+def _mixed_oracle() -> str:
+    # producer B stored true arrays: its lists are deduped like any array
+    b_parse = O.parse_stage("titled", "auto")
+    body = ("select * replace (array_to_string(hard_skills, '|') as hard_skills) from silver")
+    parsed = (f"select * replace (case when {_BOARD_A} then hard_skills "
+              f"else {O.distinct_sql('hard_skills')} end as hard_skills) from ({b_parse})")
+    return O.with_stages(body, "titled", "kept_companies", extra={
+        "parsed": parsed, "joined": O.STAGES["joined"], "enriched": O.STAGES["enriched"],
+        "silver": O.STAGES["silver"]})
+
+
+@register("silver_mixed_producers", _mixed_oracle())
+def q_silver_mixed(spark, sf):
+    """Producer A wrote ``HARD SKILLS`` as printed text, producer B wrote
+    ``HARD_SKILLS#0`` as a true array; one mergeSchema scan reads both."""
+    from hirewave.operators import skills as sk
+    p = fixtures.postings(spark, sf)
+    root = scratch_path(spark, "raw_mixed")
+    a = p.where(_BOARD_A).withColumnRenamed("hard_skills", "HARD SKILLS")
+    b = (p.where(f"not ({_BOARD_A})")
+          .withColumn("hard_skills", sk.parse_auto(F.col("hard_skills")))
+          .withColumnRenamed("hard_skills", "HARD_SKILLS#0"))
+    a.write.mode("overwrite").parquet(f"{root}/producer=a")
+    b.write.mode("overwrite").parquet(f"{root}/producer=b")
+    raw = partitions.read_partitioned(spark, root, merge_schema=True).drop("producer")
+    return flat(silver.silver_unexploded(raw, fixtures.companies(spark, sf)))
+
+
 # ------------------------------------------------------------------ SNK-01 (write twice, read back)
 @register("silver_roundtrip", O.with_stages(
     "select * replace (array_to_string(hard_skills, '|') as hard_skills) from silver", "silver"))
