@@ -18,11 +18,12 @@ def latest_companies(companies: DataFrame) -> DataFrame:
     """
     if not all(c in companies.columns for c in rules.PARTITION_COLUMNS):
         return companies
-    latest = companies.select(F.max(F.struct(*rules.PARTITION_COLUMNS)).alias("k"))
-    k = latest.scalar()
-    cond = ((F.col("year") == k.getField("year")) & (F.col("month") == k.getField("month"))
-            & (F.col("day") == k.getField("day")))
-    return companies.where(cond)
+    # 'y/m/d' with '/' (below every digit) orders exactly like the (y, m, d)
+    # tuple, so one scalar subquery gives the latest key; as a filter on
+    # partition columns it prunes directories at run time.
+    key = F.concat_ws("/", *rules.PARTITION_COLUMNS)
+    latest = companies.select(F.max(key)).scalar()
+    return companies.where(key == latest)
 
 
 def prepare_companies(companies: DataFrame, ignore_case: bool = False) -> tuple[DataFrame, DataFrame]:
