@@ -283,6 +283,8 @@ def _field_batches(batches, heading_tag: str, spans: list[tuple[str, str]]):
 
 
 def page_fields_parsed(pages: DataFrame, heading_tag: str = "h1") -> DataFrame:
+    from hirewave.session import ship_package
+    ship_package(pages.sparkSession)   # the batch function runs in Python workers
     spans = list(rules.DETAIL_SPANS)
     schema = "page_id long, job_title string, " + ", ".join(f"{name} string" for name, _ in spans)
     return pages.select("page_id", "html").mapInPandas(

@@ -71,3 +71,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused location under the shared folder."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``hirewave`` importable in the Python workers (once per application).
+
+    Only operators that run Python in tasks (``mapInPandas``) need it; the
+    package is zipped into the shared folder and added with ``addPyFile``,
+    which Spark distributes to every executor.
+    """
+    import zipfile
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    target = scratch_path(spark, "pyfiles")
+    local = target[len("file:"):] if target.startswith("file:") else target
+    if "://" in local:  # remote shared folder: build locally, Spark ships it
+        local = tempfile.mkdtemp(prefix="hirewave-pyfiles-")
+    os.makedirs(local, exist_ok=True)
+    zpath = os.path.join(local, "hirewave.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(zpath)
+    _SHIPPED.add(app)
