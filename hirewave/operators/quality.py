@@ -39,7 +39,8 @@ def funnel_counts(raw: DataFrame, companies: DataFrame, companies_kept: DataFram
     """
     scraped = counts_by_date(raw, "initial_scrapped_data_count")
     kept = counts_by_date(final, "scrapped_data_count_after_removing_managerial_post")
-    out = (scraped.join(kept, P, "left")
+    # both sides hold one row per date (bounded by the calendar)
+    out = (scraped.join(F.broadcast(kept), P, "left")
            .withColumn("scrapped_data_count_after_removing_managerial_post",
                        F.coalesce(F.col("scrapped_data_count_after_removing_managerial_post"), F.lit(0).cast("bigint")))
            .withColumn("total_number_of_companies", companies.select(F.count(F.lit(1))).scalar())

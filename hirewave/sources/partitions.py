@@ -70,6 +70,7 @@ def remaining_dates(src_dates: DataFrame, dest_dates: DataFrame | None) -> DataF
     if dest_dates is None:
         return src
     dest = dest_dates.select(*P).distinct()
-    left = src.join(dest, P, "left_anti")
+    # a list of dates: bounded by the calendar, safe to broadcast
+    left = src.join(F.broadcast(dest), P, "left_anti")
     fallback = latest_partition(dest).where(~left.exists())
     return left.unionByName(fallback)
