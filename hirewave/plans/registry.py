@@ -51,4 +51,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all() -> None:
     # modules that register more queries
-    from hirewave.plans import queries_clean, queries_harvest, queries_io, queries_more  # noqa: F401
+    from hirewave.plans import queries_clean, queries_harvest, queries_io  # noqa: F401
