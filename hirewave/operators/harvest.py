@@ -45,9 +45,15 @@ def testid_span(html: Column, testid: str) -> Column:
     return tag_text(_first(html, rf'(?s)<span[^>]*data-testid="{testid}"[^>]*>(.*?)</span>'))
 
 
+def _whole(html: Column, pattern: str) -> Column:
+    # group 0 keeps the literal start of the pattern, which the JVM regex
+    # engine searches for directly (a leading '(' would defeat that: ~2x slower)
+    return F.regexp_extract(html, pattern, 0)
+
+
 def testid_block(html: Column, testid: str) -> Column:
     """The whole first <div data-testid=...> element ('' when missing)."""
-    return _first(html, rf'(?s)(<div[^>]*data-testid="{testid}"[^>]*>.*?</div>)')
+    return _whole(html, rf'(?s)<div[^>]*data-testid="{testid}"[^>]*>.*?</div>')
 
 
 # HRV-01
@@ -68,11 +74,11 @@ def page_lists(pages: DataFrame, list_fragment: Column, text_fragment: Column) -
 
 
 def first_ul(html: Column) -> Column:
-    return _first(html, r"(?s)(<ul[^>]*>.*?</ul>)")
+    return _whole(html, r"(?s)<ul[^>]*>.*?</ul>")
 
 
 def article(html: Column) -> Column:
-    return _first(html, r"(?s)(<article[^>]*>.*?</article>)")
+    return _whole(html, r"(?s)<article[^>]*>.*?</article>")
 
 
 # HRV-03
