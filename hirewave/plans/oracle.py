@@ -112,10 +112,3 @@ def with_stages(body: str, *needed: str, extra: dict[str, str] | None = None) ->
     ctes = {n: STAGES[n] for n in _ORDER if n in want}
     ctes.update(extra or {})
     return fixtures.with_ctes(body, **ctes)
-
-
-def sql_list(values: list[str]) -> str:
-    return "[" + ", ".join(exprs.sql_str(v) for v in values) + "]"
-
-
-__all__ = ["STAGES", "with_stages", "sql_list", "rules"]
