@@ -320,13 +320,15 @@ def q_join_lists(spark, sf):
 
 # ------------------------------------------------------------------ SET-01 / SET-02
 @register("union_boards", O.with_stages(
-    "select * from postings union all by name "
+    "select * replace (cast(rid as varchar) as rid) from (select * from postings union all by name "
     "select * exclude (job_qualification, job_description) rename (job_title as title, "
     "search_keyword_for_job as search_title), array_to_string(job_description, ', ') as description, "
-    "array_to_string(job_qualification, ', ') as job_qualification from board_b", "postings",
+    "array_to_string(job_qualification, ', ') as job_qualification from board_b)", "postings",
     extra={**_BOARD_B, "board_b": _board_b_lists_sql()}))
 def q_union_boards(spark, sf):
-    return harvest.union_boards(fixtures.postings(spark, sf), fixtures.board_b(spark, sf))
+    u = harvest.union_boards(fixtures.postings(spark, sf), fixtures.board_b(spark, sf))
+    # board B has no rid: a nullable integer, returned as text for a type-stable compare
+    return u.withColumn("rid", F.col("rid").cast("string"))
 
 
 # ------------------------------------------------------------------ LIM-01 (top-k is the feature)

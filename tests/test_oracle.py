@@ -66,3 +66,17 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.schema == E.entry(spark).schema
+
+
+def test_date_columns_are_known(spark):
+    """Every DATE column a raw builder returns is one the oracle wrapper casts."""
+    from pyspark.sql.types import DateType
+
+    from hirewave.plans import registry
+    raw = registry.raw_queries()
+    for key in KEYS:
+        if key in WRITERS:
+            continue
+        schema = raw[key](spark, SF).schema
+        dates = {f.name for f in schema.fields if isinstance(f.dataType, DateType)}
+        assert dates <= set(registry.DATE_NAMES), (key, dates)
