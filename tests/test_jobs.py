@@ -32,3 +32,22 @@ def test_sync_silver_twice(spark, tmp_dir):
     ids = partitions.read_partitioned(spark, exp)
     assert ids.count() == silver.silver_exploded(want).count()
     assert partitions.read_partitioned(spark, val).count() == n_dates
+
+
+@pytest.mark.slow
+def test_sync_touches_only_new_date(spark, tmp_dir):
+    p = fixtures.postings(spark, SF)
+    comp = fixtures.companies(spark, SF).selectExpr("*", "'2024' as year", "'01' as month", "'03' as day")
+    raw, cpath = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "companies")
+    out, exp, val = (os.path.join(tmp_dir, n) for n in ("silver", "exploded", "validation"))
+    dates = [tuple(r) for r in p.select("year", "month", "day").distinct().orderBy("year", "month", "day").collect()]
+    first_two, third = dates[:2], dates[2]
+    cond = " or ".join(f"(year = '{y}' and month = '{m}' and day = '{d}')" for y, m, d in first_two)
+    writers.write_partitioned(comp, cpath)
+    writers.write_partitioned(p.where(cond), raw)
+    assert sorted(tuple(r) for r in jobs.sync_silver(spark, raw, cpath, out, exp, val).collect()) == first_two
+    y, m, d = third
+    writers.write_partitioned(p.where(f"year = '{y}' and month = '{m}' and day = '{d}'"), raw, mode="append")
+    touched = [tuple(r) for r in jobs.sync_silver(spark, raw, cpath, out, exp, val).collect()]
+    assert touched == [third]
+    assert partitions.read_partitioned(spark, val).count() == 3
