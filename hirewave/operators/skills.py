@@ -101,8 +101,14 @@ def coalesce_variants(df: DataFrame, mode: str = "row") -> DataFrame:
 
 
 def parse_skills(df: DataFrame, column: str = "hard_skills", mode: str = "row") -> DataFrame:
-    """Schema-driven: arrays are deduped, strings parsed; other types pass through."""
+    """Schema-driven: arrays are deduped, strings parsed; other types pass through.
+
+    ``mode='parsed'``: the skills were already parsed upstream (per file
+    schema, see ``hirewave.sources.raw``); nothing is done.
+    """
     from hirewave.operators.clean import skill_variants
+    if mode == "parsed":
+        return df
     if column == "hard_skills" and len(skill_variants(df)) > 1:
         return array_siblings_to_text(coalesce_variants(df, "row" if mode == "sniff" else mode))
     dtype = df.schema[column].dataType

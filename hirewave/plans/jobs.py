@@ -22,6 +22,7 @@ from hirewave.functions import rules
 from hirewave.plans import silver
 from hirewave.sinks import writers
 from hirewave.sources import partitions
+from hirewave.sources import raw as raw_reads
 
 P = rules.PARTITION_COLUMNS
 
@@ -43,9 +44,10 @@ def sync_silver(spark: SparkSession, raw_root: str, companies_root: str, silver_
     # it is the record of synced dates.
     todo = partitions.remaining_dates(partitions.list_partitions(raw), _dates_or_none(spark, validation_root))
     todo = todo.checkpoint()          # the date list is reused by the scan and returned
-    rows = raw.join(F.broadcast(todo), P, "left_semi")   # bounded by the calendar
+    # one scan of those dates (per file schema when producers disagree on types)
+    rows, mode = raw_reads.read_dates(spark, raw_root, todo)
     companies = partitions.read_partitioned(spark, companies_root)
-    run = silver.build(rows, companies, skills_mode)
+    run = silver.build(rows, companies, skills_mode if mode == "row" else mode)
     unexploded = run.unexploded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         writers.write_partitioned(unexploded, silver_root)

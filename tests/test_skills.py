@@ -97,3 +97,27 @@ def test_mixed_producers_in_one_scan(spark, tmp_dir):
     got = {r["job_url"]: r["hard_skills"] for r in out.collect()}
     assert got == {"u1": ["x", "y"], "u2": ["p", "q", "p"], "u3": ["m", "n"]}
     assert "HARD SKILLS" not in out.columns and "HARD_SKILLS#0" not in out.columns
+
+
+def test_same_name_different_types_fallback(spark, tmp_dir):
+    """One date wrote hard_skills as printed text, another as a true array:
+    Parquet cannot merge them, so the dates are read per file schema."""
+    import os
+
+    from hirewave.sinks import writers
+    from hirewave.sources import raw as raw_reads
+    root = os.path.join(tmp_dir, "raw")
+    a = spark.createDataFrame([("u1", "['x', 'y', 'x']", "2024", "01", "03"),
+                               ("u2", "['p' 'q'\n 'p']", "2024", "01", "03")],
+                              "job_url string, hard_skills string, year string, month string, day string")
+    b = spark.createDataFrame([("u3", ["m", "n", "m"], ["o"], "2024", "01", "04")],
+                              "job_url string, hard_skills array<string>, ORG array<string>, "
+                              "year string, month string, day string")
+    writers.write_partitioned(a, root)
+    writers.write_partitioned(b, root, mode="append")
+    dates = spark.createDataFrame([("2024", "01", "03"), ("2024", "01", "04")], "year string, month string, day string")
+    rows, mode = raw_reads.read_dates(spark, root, dates)
+    assert mode == "parsed"
+    got = {r["job_url"]: (r["hard_skills"], r["ORG"]) for r in rows.collect()}
+    assert got == {"u1": (["x", "y"], None), "u2": (["p", "q", "p"], None), "u3": (["m", "n"], "[o]")}
+    assert skills.parse_skills(rows, mode=mode).collect() == rows.collect()
