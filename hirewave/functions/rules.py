@@ -273,3 +273,14 @@ DETAIL_SPANS: list[tuple[str, str]] = [
 QUALIFICATIONS_TESTID = "viewJobQualificationsContainer"
 DESCRIPTION_TESTID = "viewJobBodyJobFullDescriptionContent"
 PAGER_LINK_CLASS = "chakra-link css-1wxsdwr"
+
+# --------------------------------------------------------------------------
+# FIXED VALUES — printed skill lists and location text.
+# --------------------------------------------------------------------------
+SKILL_LIST_EDGES = r"(^\[')|(\']$)"   # stripped from both printed forms
+SKILL_COMMA_SEP = "', '"              # item separator, comma form (deduped)
+SKILL_SPACE_SEP = "' '"               # item separator, space form; also the form marker
+SKILL_SPACE_DROP = "\n"               # removed from the space form before splitting
+LOCATION_SEP = ", "                   # 'place, state'
+LOCATION_PLACE_JOIN = ","             # place when the location has not exactly two parts
+LOCATION_JOIN = "-"                   # location parts re-joined

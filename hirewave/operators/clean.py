@@ -55,12 +55,12 @@ def split_location(df: DataFrame) -> DataFrame:
 
     location becomes the parts joined by '-'; a NULL location gives '' in all three.
     """
-    parts = F.split(F.col("location"), ", ")
+    parts = F.split(F.col("location"), rules.LOCATION_SEP)
     two = F.col("location").isNotNull() & (F.size(parts) == 2)
     return df.withColumns({
         "state": F.when(two, F.get(parts, 1)).otherwise(F.lit("")),
-        "place": F.when(two, F.get(parts, 0)).otherwise(F.concat_ws(",", parts)),
-        "location": F.concat_ws("-", parts),
+        "place": F.when(two, F.get(parts, 0)).otherwise(F.concat_ws(rules.LOCATION_PLACE_JOIN, parts)),
+        "location": F.concat_ws(rules.LOCATION_JOIN, parts),
     })
 
 

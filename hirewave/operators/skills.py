@@ -22,16 +22,16 @@ from pyspark.sql.types import ArrayType, StringType
 from hirewave.functions import exprs, rules
 
 P = rules.PARTITION_COLUMNS
-_EDGES = r"(^\[')|(\']$)"
-SPACE_MARK = "' '"
+_EDGES = rules.SKILL_LIST_EDGES
+SPACE_MARK = rules.SKILL_SPACE_SEP
 
 
 def parse_comma(c: Column) -> Column:
-    return F.array_distinct(F.split(F.regexp_replace(c, _EDGES, ""), "', '"))
+    return F.array_distinct(F.split(F.regexp_replace(c, _EDGES, ""), rules.SKILL_COMMA_SEP))
 
 
 def parse_space(c: Column) -> Column:
-    return F.split(F.regexp_replace(F.regexp_replace(c, _EDGES, ""), "\n", ""), SPACE_MARK)
+    return F.split(F.regexp_replace(F.regexp_replace(c, _EDGES, ""), rules.SKILL_SPACE_DROP, ""), SPACE_MARK)
 
 
 def parse_auto(c: Column) -> Column:
