@@ -284,3 +284,10 @@ SKILL_SPACE_DROP = "\n"               # removed from the space form before split
 LOCATION_SEP = ", "                   # 'place, state'
 LOCATION_PLACE_JOIN = ","             # place when the location has not exactly two parts
 LOCATION_JOIN = "-"                   # location parts re-joined
+
+# --------------------------------------------------------------------------
+# FIXED VALUES — search and list-page markup of the boards.
+# --------------------------------------------------------------------------
+SEARCH_PARAMS = ("keywords", "location", "f_TPR", "f_E", "f_WT", "start")   # in request order
+DETAIL_LINK_JOIN = "&job="            # list-page url + this + job key
+PAGER_LABEL = "page "                 # aria-label of the pager link to page n

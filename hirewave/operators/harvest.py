@@ -93,15 +93,16 @@ def list_items(pages: DataFrame) -> DataFrame:
 def detail_links(items: DataFrame) -> DataFrame:
     """Detail link = list-page url + '&job=' + job key (href without leading '/')."""
     key = F.regexp_replace(F.col("href"), "^/", "")
-    return items.select("page_id", F.concat(F.col("url"), F.lit("&job="), key).alias("job_link"))
+    return items.select("page_id", F.concat(F.col("url"), F.lit(rules.DETAIL_LINK_JOIN), key).alias("job_link"))
 
 
 # HRV-05
 def next_link(pages: DataFrame, current_page: Column) -> Column:
     """Href of the pager link labelled 'page n+1', else NULL."""
     cls = rules.PAGER_LINK_CLASS
-    links = F.regexp_extract_all(F.col("html"), F.lit(rf'<a class="{cls}" aria-label="page [0-9]+" href="[^"]*"'), 0)
-    want = F.concat(F.lit(f'<a class="{cls}" aria-label="page '), (current_page + 1).cast("string"), F.lit('"'))
+    label = rules.PAGER_LABEL
+    links = F.regexp_extract_all(F.col("html"), F.lit(rf'<a class="{cls}" aria-label="{label}[0-9]+" href="[^"]*"'), 0)
+    want = F.concat(F.lit(f'<a class="{cls}" aria-label="{label}'), (current_page + 1).cast("string"), F.lit('"'))
     hit = F.try_element_at(F.filter(links, lambda x: x.startswith(want)), F.lit(1))
     return F.nullif(F.regexp_extract(hit, r'href="([^"]*)"', 1), F.lit(""))
 
@@ -174,14 +175,15 @@ def search_url(base: str, keyword: Column, experience: Column, work_type: Column
     When split by experience the work-type parameter is sent empty, as the
     original request did.  ``url_encode`` writes a blank as '+'.
     """
+    kw, loc, tpr, exp, wt, st = rules.SEARCH_PARAMS
     return F.concat(F.lit(base + "?"), F.concat_ws(
         "&",
-        F.concat(F.lit("keywords="), F.url_encode(keyword)),
-        F.concat(F.lit("location="), F.url_encode(F.lit(rules.SEARCH_LOCATION))),
-        F.lit(f"f_TPR={rules.RECENCY_PARAM}"),
-        F.when(experience.isNotNull(), F.concat(F.lit("f_E="), experience)),
-        F.when(experience.isNotNull(), F.concat(F.lit("f_WT="), F.coalesce(work_type, F.lit("")))),
-        F.concat(F.lit("start="), start.cast("string"))))
+        F.concat(F.lit(f"{kw}="), F.url_encode(keyword)),
+        F.concat(F.lit(f"{loc}="), F.url_encode(F.lit(rules.SEARCH_LOCATION))),
+        F.lit(f"{tpr}={rules.RECENCY_PARAM}"),
+        F.when(experience.isNotNull(), F.concat(F.lit(f"{exp}="), experience)),
+        F.when(experience.isNotNull(), F.concat(F.lit(f"{wt}="), F.coalesce(work_type, F.lit("")))),
+        F.concat(F.lit(f"{st}="), start.cast("string"))))
 
 
 # HRV-10
