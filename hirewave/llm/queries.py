@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from hirewave.llm import mixing, simhash, urls
+from hirewave.llm import embedding, licenses, mixing, quality, sentencepiece_bpe, simhash, sketch, substring, urls, warc_zip
 
 QUERIES = {
     "op1_simhash_dedup": simhash.query,
+    "op2_substring_dedup": substring.query,
+    "op3_quality_classifier": quality.query,
+    "op4_embedding_dedup": embedding.query,
+    "op5_sentencepiece": sentencepiece_bpe.query,
+    "op6_license_scan": licenses.query,
+    "op7_document_fingerprints": sketch.query,
+    "op8_warc_zip": warc_zip.query,
     "op9_source_mixing": mixing.query,
     "op10_url_filter": urls.query,
 }
 
-ORACLES = {"op10_url_filter": urls.ORACLE}
+ORACLES = {"op8_warc_zip": warc_zip.ORACLE, "op10_url_filter": urls.ORACLE}
