@@ -14,7 +14,7 @@ from hirewave.llm.common import materialize, table
 from hirewave.session import ship_package
 
 WINDOW = 13
-MINIMISER = 4
+MINIMISER = 2
 CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 6 << 20
 HOT_RUNS = 1000
@@ -341,7 +341,7 @@ def dedup_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     the windows of very frequent minimisers travel alone, by their own hash,
     so that no bucket holds more than its share.
     """
-    out = _cut(docs, id_col, text_col, window, minimiser)
+    out = _cut(docs.select(id_col, text_col), id_col, text_col, window, minimiser, whole=False)
     return out.select(F.col(f"d.{id_col}").alias("id"), "n_words", "n_removed", "kept")
 
 
@@ -351,33 +351,47 @@ def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Texts that lose nothing stay as they are; a text that loses all its words becomes empty.
     """
-    out = _cut(docs, id_col, text_col, window, minimiser)
-    lost = F.col("n_removed") > 0
-    text = F.when(lost, F.col("kept")).otherwise(F.col(f"d.{text_col}"))
-    new = {text_col: text}
+    out = _cut(docs, id_col, text_col, window, minimiser, whole=True)
+    new = {text_col: F.col("kept")}
     if chars_col in docs.columns:
-        new[chars_col] = F.when(lost, F.length("kept")).otherwise(F.col(f"d.{chars_col}")).cast(dict(docs.dtypes)[chars_col])
+        new[chars_col] = F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col(f"d.{chars_col}")).cast(
+            dict(docs.dtypes)[chars_col])
     return out.select(*[new.get(c, F.col(f"d.`{c}`")).alias(c) for c in docs.columns])
 
 
-def _cut(docs: DataFrame, id_col: str, text_col: str, window: int, minimiser: int) -> DataFrame:
-    """(d, n_words, n_removed, kept): every row of ``docs`` as a struct, and what is left of its text."""
+def _cut(docs: DataFrame, id_col: str, text_col: str, window: int, minimiser: int, whole: bool) -> DataFrame:
+    """(d, n_words, n_removed, kept): the other columns of ``docs`` as a struct, and what is left of each text.
+
+    With ``whole`` a text that loses nothing comes back as it was.  Texts are
+    compressed one by one on their way to their marks.
+    """
     marks = repeated_windows(docs, id_col, text_col, window, minimiser)
     by_doc = materialize(marks.groupBy("doc", "tag").agg(F.collect_list(F.struct("word", "mask")).alias("marks")), "marks")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), F.col(id_col).cast("long").alias("doc"),
-                       F.hash(F.col(text_col)).alias("tag"))
-    both = rows.join(by_doc, ["doc", "tag"], "left").select("d", F.col(f"d.{text_col}").cast("string").alias("text"), "marks")
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col])
+    rows = docs.select(others.alias("d"), F.col(id_col).cast("long").alias("doc"), F.hash(F.col(text_col)).alias("tag"),
+                       F.col(text_col).cast("string").alias("text"))
+
+    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = zstandard.ZstdCompressor(3)
+        for b in batches:
+            small = [c.compress(t.as_py().encode()) if t.is_valid else None for t in b.column(3)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(small, pa.binary())], names=["d", "doc", "tag", "z"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for i in range(0, whole.num_rows, 1000):
-                b = whole.slice(i, 1000)
-                done = [covered(t.as_py(), [(m["word"], m["mask"]) for m in x.as_py() or ()], window)
-                        for t, x in zip(b.column(1), b.column(2))]
+        d = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for i in range(0, batch.num_rows, 500):
+                b, done = batch.slice(i, 500), []
+                for z, m in zip(b.column(1), b.column(2)):
+                    text = d.decompress(z.as_py()).decode() if z.is_valid else None
+                    n, gone, kept = covered(text, [(x["word"], x["mask"]) for x in m.as_py() or ()], window)
+                    done.append((n, gone, text if whole and not gone else kept.decode()))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array([d[0] for d in done], pa.int64()), pa.array([d[1] for d in done], pa.int64()),
-                     pa.array([d[2].decode() for d in done], pa.string())], names=["d", "n_words", "n_removed", "kept"])
+                    [b.column(0), pa.array([x[0] for x in done], pa.int64()), pa.array([x[1] for x in done], pa.int64()),
+                     pa.array([x[2] for x in done], pa.string())], names=["d", "n_words", "n_removed", "kept"])
 
+    small = rows.mapInArrow(squeeze, rows.drop("text").schema.add("z", "binary"))
+    both = small.join(by_doc, ["doc", "tag"], "left").select("d", "z", "marks")
     kind = both.select("d").schema.add("n_words", "long").add("n_removed", "long").add("kept", "string")
     return both.mapInArrow(cut, kind)
 
