@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hirewave.llm.common import global_rank, table
+from hirewave.llm.common import table
 
 SHINGLE_WORDS = 5
 FRACTION = 0.25
+STRETCHES = 4
 
 
 def _words(text: Column) -> Column:
@@ -54,33 +55,41 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     the order of their text hash; null ids first); after the last comes the
     first, and a single document is its own next.  The edited text has its last
     floor(n / 2) code points replaced by the next document's first as many (or
-    all).  Null texts count as empty.  Rows that repeat id and text are one
-    document in this order and get the same result each.
+    all).  Null texts count as empty.  Repeated rows are documents of their own.
 
-    Only ids, hashes and lengths are put in order, range partitioned; texts
-    are shuffled once by their own key, and heads once by their taker's key.
+    Texts are shuffled once, to stretches of ids between approximate
+    quantiles.  A document that opens a stretch also goes, as a guest, to the
+    end of the stretch before it (the first of all to the last), so every row
+    finds its next one in its own stretch.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("tag", F.xxhash64("text")).withColumn("n", F.length("text").cast("long"))
-    order = [F.col("id"), F.col("tag"), F.col("n")]
-    ranked = global_rank(rows.select("id", "tag", "n").distinct(), order, "rank", "sketch-order")
-    total = ranked.count()
-    before = ranked.select(F.pmod(F.col("rank") + 1, F.lit(max(total, 1))).alias("rank"), F.col("id").alias("to_id"),
-                           F.col("tag").alias("to_tag"), F.floor(F.col("n") / 2).cast("int").alias("to_half"))
-    links = ranked.join(before, "rank").select(F.col("id").alias("_id"), F.col("tag").alias("_tag"), "to_id", "to_tag", "to_half")
-    base = rows.withColumn("own", sketch(F.col("text"), fraction, shingle_words))
-    placed = base.join(links, F.col("id").eqNullSafe(F.col("_id")) & (F.col("tag") == F.col("_tag"))).drop("_id", "_tag")
-    heads = placed.select(F.col("to_id").alias("_id"), F.col("to_tag").alias("_tag"), F.col("tag").alias("next_tag"),
-                          F.expr("substring(text, 1, to_half)").alias("head"), F.col("own").alias("next")
-                          ).dropDuplicates(["_id", "_tag"])
-    both = placed.join(heads, F.col("id").eqNullSafe(F.col("_id")) & (F.col("tag") == F.col("_tag")))
-    edited = F.concat(F.expr("substring(text, 1, cast(n - floor(n / 2) as int))"), F.col("head"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    steps = [i / (STRETCHES * parts) for i in range(1, STRETCHES * parts)]
+    low, nulls, marks = rows.agg(F.min("id"), F.count(F.when(F.col("id").isNull(), 1)),
+                                 F.percentile_approx("id", steps, 50 * len(steps))).first()
+    opens = sorted({m for m in marks or [] if nulls or m > low})
+    bounds = F.array(*[F.lit(m) for m in opens]).cast(f"array<{dict(docs.dtypes)[id_col]}>")
+    own = F.size(F.filter(bounds, lambda m: m <= F.col("id")))
+    first = F.col("id").isNull() if nulls else F.col("id") == F.lit(low)
+    guest = F.when(F.coalesce(first, F.lit(False)), F.lit(len(opens))).when(F.array_contains(bounds, F.col("id")), F.col("own") - 1)
+    rows = rows.withColumn("own", own).withColumn("guest", guest).withColumn("place", F.explode(F.when(
+        F.col("guest").isNull(), F.array(F.struct(F.col("own").alias("stretch"), F.lit(False).alias("guest")))).otherwise(
+        F.array(F.struct(F.col("own").alias("stretch"), F.lit(False).alias("guest")),
+                F.struct(F.col("guest").alias("stretch"), F.lit(True).alias("guest"))))))
+    dealt = rows.select("id", "text", F.col("place.stretch").alias("stretch"), F.col("place.guest").alias("guest")).repartition(
+        parts, "stretch")
+    dealt = dealt.withColumn("n", F.length("text").cast("long")).withColumn("tag", F.xxhash64("text")).withColumn(
+        "mine", sketch(F.col("text"), fraction, shingle_words))
+    w = Window.partitionBy("stretch").orderBy("guest", "id", "tag")
+    both = dealt.select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in ("text", "tag", "mine")]).where(~F.col("guest"))
+    edited = F.expr("concat(substring(text, 1, cast(n - floor(n / 2) as int)), substring(next_text, 1, cast(floor(n / 2) as int)))")
     both = both.withColumn("edited", edited).withColumn("theirs", sketch(F.col("edited"), fraction, shingle_words))
     return both.select(
-        "id", F.col("n").alias("n_chars"), "edited", fingerprint(F.col("text"), F.col("own")).alias("fingerprint"),
+        "id", F.col("n").alias("n_chars"), "edited", fingerprint(F.col("text"), F.col("mine")).alias("fingerprint"),
         fingerprint(F.col("edited"), F.col("theirs")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("theirs"), F.col("text") == F.col("edited")).alias("near_edited"),
-        likeness(F.col("own"), F.col("next"), F.col("tag") == F.col("next_tag")).alias("near_next"))
+        likeness(F.col("mine"), F.col("theirs"), F.col("text") == F.col("edited")).alias("near_edited"),
+        likeness(F.col("mine"), F.col("next_mine"), F.col("tag") == F.col("next_tag")).alias("near_next"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
