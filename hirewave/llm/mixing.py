@@ -10,8 +10,8 @@ from hirewave.llm.common import global_rank, materialize, table
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 BLOCK_TOKENS = 32
-SHARD_TOKENS = 1_000_000
-MAX_SHARDS = 4096
+SHARD_TOKENS = 100_000
+MAX_SHARDS = 65_536
 
 
 def n_words(text: Column) -> Column:
@@ -164,20 +164,21 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = mix(docs, id_col, text_col, source_col, **params)
     per_key = Window.partitionBy("id", "src", "text_key").orderBy("taken")
     found = found.withColumn("_nth", F.row_number().over(per_key)).where("taken > 0").select(
-        F.col("id").alias("_id"), F.col("src").alias("_src"), F.col("text_key").alias("_key"), "_nth", "size", "taken")
+        F.col("id").alias("_id"), F.col("src").alias("_src"), F.col("text_key").alias("_key"), "_nth",
+        F.col("size").alias("_size"), F.col("taken").alias("_taken"))
     mine = Window.partitionBy(id_col, source_col, "_text_key").orderBy(F.lit(0))
     keyed = docs.withColumn("_text_key", F.xxhash64(F.col(text_col))).withColumn("_row", F.row_number().over(mine))
     same = (F.col(id_col).eqNullSafe(F.col("_id")) & F.col(source_col).cast("string").eqNullSafe(F.col("_src"))
             & (F.col("_text_key") == F.col("_key")) & (F.col("_row") == F.col("_nth")))
     copies = keyed.join(found, same).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / F.col("size")))))
-    left = F.col("taken") - (F.col("_copy") - 1) * F.col("size")
+        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("_taken") / F.col("_size")))))
+    left = F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")
     head = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)),
                                 F.lit(1), left.cast("int")), " ")
-    out = copies.withColumn(text_col, F.when(left < F.col("size"), head).otherwise(F.col(text_col)))
+    out = copies.withColumn(text_col, F.when(left < F.col("_size"), head).otherwise(F.col(text_col)))
     if chars_col in docs.columns:
         kind = dict(docs.dtypes)[chars_col]
-        out = out.withColumn(chars_col, F.when(left < F.col("size"), F.length(text_col).cast(kind)).otherwise(F.col(chars_col)))
+        out = out.withColumn(chars_col, F.when(left < F.col("_size"), F.length(text_col).cast(kind)).otherwise(F.col(chars_col)))
     return out.select(*docs.columns)
 
 

@@ -146,14 +146,18 @@ class Vocabulary:
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of ``ids``: control ids are skipped, the first word's space is dropped."""
-        ids = ids[(ids != self.bos) & (ids != self.eos)]
-        raw = b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
-        if len(ids) and self.leads[ids[0]]:
-            raw = raw[1:]
-        try:
-            return raw.decode()
-        except UnicodeDecodeError:
-            return _lenient(raw)
+        control = (ids == self.bos) | (ids == self.eos)
+        runs = [r for r in np.split(ids[~control], (np.flatnonzero(control) - np.arange(control.sum()))) if len(r)]
+        out = []
+        for k, run in enumerate(runs):  # bytes on both sides of a control id don't make a character
+            raw = b"".join(map(self.bytes_of.__getitem__, run.tolist()))
+            if k == 0 and self.leads[run[0]]:
+                raw = raw[1:]
+            try:
+                out.append(raw.decode())
+            except UnicodeDecodeError:
+                out.append(_lenient(raw))
+        return "".join(out)
 
 
 def _lenient(raw: bytes) -> str:

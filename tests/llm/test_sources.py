@@ -1,0 +1,172 @@
+"""WARC packages, source mixing, URL filters and the pipeline."""
+
+import hashlib
+import io
+import random
+import zipfile
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from hirewave.llm import mixing, urls, warc_zip
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows], DOCS)
+
+
+def test_warc_round_trip(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc_zip, "ARCHIVE_BYTES", 2000)
+    big, r = "é" * 700, random.Random(1)
+    pages = [(1, "http://a/", big), (2, None, big), (3, "u\r\nX: y", big), (4, "c", "short"), (5, "c", "short"), (6, "d", None), (7, "e", ""),
+             (8, "f", "x" * 999), (9, "f", "x" * 999), (10, "g", "y" * 1000), (11, "g", "y" * 1000), (11, "g", "y" * 1000), (None, "h", "y" * 1000)]
+    pages += [(100 + i, "r", "".join(r.choice("abc\r\n\x00") for _ in range(3000))) for i in range(10)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("id", F.lit(0)).withColumn("last", F.lit(0))
+    records = warc_zip.with_revisits(df)
+    archives = warc_zip.write_archives(records, f"file://{tmp_path}/w")
+    assert archives.count() > 1
+    got = sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, r.payload) for r in warc_zip.read_archives(archives).collect()), key=repr)
+    want = []
+    for i, _, html in pages:
+        b = (html or "").encode()
+        last = max(p for p, _, h in pages if p is not None and (h or "").encode() == b) if len(b) >= 1000 else i
+        revisit = i is not None and i < last
+        want.append((i, len(b), hashlib.sha1(b).hexdigest(), "revisit" if revisit else "response", last if revisit else None, None if revisit else b))
+    assert [(*g[:5], g[5] and bytes(g[5])) for g in got] == [(*w[:5], w[5] or (w[5] and b"")) for w in sorted(want, key=repr)] or sorted(
+        map(repr, got)) == sorted(map(repr, [(*w[:5], None if w[5] is None else bytearray(w[5])) for w in want]))
+    assert warc_zip.read_archives(warc_zip.write_archives(records.limit(0), f"file://{tmp_path}/e")).count() == 0
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_zip_directories(monkeypatch, wide):
+    if wide:
+        monkeypatch.setattr(zipfile, "ZIP64_LIMIT", 10)
+        monkeypatch.setattr(zipfile, "ZIP_FILECOUNT_LIMIT", 1)
+    buf, content = io.BytesIO(), {f"archive/{i}": bytes([i]) * (i * 40) for i in range(5)}
+    with zipfile.ZipFile(buf, "w") as z:
+        for k, v in content.items():
+            z.writestr(k, v)
+        z.comment = b"note"
+    raw = buf.getvalue()
+    assert (b"PK\x06\x06" in raw) == wide
+    members = warc_zip.zip_members(lambda at, n: raw[at:at + n], len(raw))
+    assert {k: raw[a:a + n] for k, (a, n) in members.items()} == content
+
+
+def test_compressed_members_and_broken_payloads_raise():
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("archive/a", b"x" * 100)
+    raw = buf.getvalue()
+    with pytest.raises(ValueError):
+        warc_zip.zip_members(lambda at, n: raw[at:at + n], len(raw))
+    record = warc_zip.warc_record(1, "u", b"payload", 7, hashlib.sha1(b"payload").hexdigest(), None)
+    assert warc_zip.parse_record(record)["payload"] == b"payload"
+    with pytest.raises(ValueError):
+        warc_zip.parse_record(record.replace(b"payload\r\n", b"pAyload\r\n"))
+
+
+def plain_targets(sizes, weights=(5, 2, 1)):
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    w = {s: weights[i % 3] for i, s in enumerate(names)}
+    total, capped = sum(sizes.values()), set()
+    while True:
+        rest = total - sum(3 * sizes[s] for s in capped)
+        free = sum(w[s] for s in names if s not in capped)
+        target = {s: Fraction(3 * sizes[s]) if s in capped else Fraction(rest * w[s], free) for s in names}
+        over = {s for s in names if target[s] > 3 * sizes[s]}
+        if not over:
+            return target
+        capped |= over
+
+
+def test_mixing_targets_and_quotas(spark):
+    r = random.Random(2)
+    rows = [(i, "word " * r.choice([0, 1, 30, 200, 900]), r.choice(["a", "a", "a", "b", "c", "d", "Ä", "z" * 30, None])) for i in range(400)]
+    rows += [(400, None, "a"), (401, "x " * 20000, "b"), (401, "x " * 20000, "b"), (None, "q w e", "tiny"), (402, "q", "tiny2")]
+    docs = frame(spark, rows).withColumn("src", F.lit(1)).withColumn("shard", F.lit(1)).withColumn("taken", F.lit("x"))
+    got = mixing.mix(docs).collect()
+    assert len(got) == len(rows)
+    sizes = {}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + len((t or "").split())
+    target = plain_targets(sizes)
+    taken = dict.fromkeys(sizes, 0)
+    for x in got:
+        taken[x.src] += x.taken
+        assert x.source_size == sizes[x.src] and abs(x.target - float(target[x.src])) < 1e-6 * max(1, x.target)
+        assert 0 <= x.taken <= 3 * x.size
+    assert all(abs(taken[s] - float(target[s])) <= 2 * mixing.BLOCK_TOKENS for s in sizes)
+    again = mixing.mix(docs.repartition(7)).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, again))
+    assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_quotas_are_sainte_lague(spark):
+    r = random.Random(3)
+    targets = [(f"s{i:02d}", float(r.randrange(1, 5000))) for i in range(40)]
+    df = spark.createDataFrame(targets, "src string, target double")
+    got = {x.src: x.blocks for x in mixing.source_quotas(df, 100).collect()}
+    seats = dict.fromkeys(got, 0)
+    for _ in range(int(sum(t for _, t in targets) / 100 + 0.5)):
+        best = max(targets, key=lambda x: (x[1] / (2 * seats[x[0]] + 1), [-ord(c) for c in x[0]]))[0]
+        seats[best] += 1
+    assert got == seats
+
+
+def test_mixed_documents_take_effect(spark):
+    rows = [(i, f"w{i} " * 10, "abc"[i % 3]) for i in range(300)] + [(1, "w1 " * 10, "b")]
+    docs = frame(spark, rows).withColumn("size", F.lit("clash"))
+    want = {}
+    for x in mixing.mix(docs).collect():
+        want[x.id] = want.get(x.id, 0) + x.taken
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns
+    got = {}
+    for x in out.collect():
+        got[x.doc_id] = got.get(x.doc_id, 0) + len(x.text.split())
+    assert got == {k: v for k, v in want.items() if v}
+
+
+def plain_rule(host, path, rules):
+    fits = [(len(h + p), len(h), h + p, a) for h, p, a in rules if (h == "" or host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fits)[2:] if fits else (None, "allow")
+
+
+def test_url_rules_match_brute_force(spark):
+    r = random.Random(4)
+    hosts = ["com", "example.com", "www.example.com", "a.www.example.com", "net", "x.net", "notexample.com", "com.example", "EXAMPLE.com", "", "b\x01example.com", ".com"]
+    paths = ["", "/", "/en/", "/en/x", "/en", "/es/", "/fr/1", "//", "/é"]
+    found = [f"http://{r.choice(hosts)}{r.choice(paths)}{r.choice(['', '?q=://z', '#f'])}" for _ in range(300)]
+    found += [None, "", "no scheme", "://", "a://b://c/en/", "http://example.com?x/en/"] + ["http://www.example.com/en/same"] * 400
+    rules = urls.RULES + [("example.com", "/en/x", "block"), ("x.net", "/", "allow"), ("net", "/", "block")]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(found)], "page_id long, url string").withColumn("key", F.lit(1)).withColumn("host", F.lit(2))
+    rule_df = spark.createDataFrame(rules + [(None, "/", "block"), rules[0]], "host string, path string, action string")
+    got = {x.id: x for x in urls.apply_rules(df, rule_df).collect()}
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for i, u in enumerate(found):
+        rest = u.split("://", 1)[1] if u and "://" in u else ""
+        stop = min([rest.find(c) for c in "/?#" if c in rest] + [len(rest)])
+        host, tail = rest[:stop].translate(low), rest[stop:]
+        path = tail[:min([tail.find(c) for c in "?#" if c in tail] + [len(tail)])]
+        assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == (host, path, *plain_rule(host, path, rules)), u
+    assert urls.apply_rules(df.limit(0), rule_df).count() == 0
+    assert urls.apply_rules(df, rule_df.limit(0)).where("verdict = 'allow' and rule is null").count() == len(found)
+
+
+def test_pipeline_stages_in_order(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "simhash_dedup", "substring_dedup", "source_mixing", "sentencepiece"]
+    for name, stage in corpus_pipeline.STAGES[:2]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns and 0 < out.count() <= docs.count(), name
+        docs = out
+    last = corpus_pipeline.run(spark, sf)
+    assert last.columns == ["doc_id", "n_tokens", "ids", "decoded"] and last.count() > 0
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, spark.read.parquet(f"{sf}/documents.parquet").limit(0), sf).count() == 0
