@@ -212,10 +212,6 @@ DEPARTMENT_MAPPING: list[tuple[str, list[str]]] = [
 # --------------------------------------------------------------------------
 # FIXED VALUES — search facets and paging.
 # --------------------------------------------------------------------------
-EXPERIENCE_LEVELS: list[tuple[str, str]] = [
-    ("1", "Internship"), ("2", "Entry level"), ("3", "Associate"), ("4", "Mid-Senior level"), ("5", "Director"),
-]
-WORK_TYPES: list[tuple[str, str]] = [("1", "On-site"), ("2", "Remote"), ("3", "Hybrid")]
 RESULT_CAP = 1000          # results one search can page through
 PAGE_SIZE_A = 25           # postings per page, board A
 PAGE_SIZE_B = 20           # postings per page, board B

@@ -1,7 +1,7 @@
 """Row cleaning: every step is a pure ``DataFrame -> DataFrame`` function.
 
 All steps are narrow (no shuffle) except :func:`dedup_postings`, which is
-one hash aggregate with map-side combine.
+one sort aggregate with map-side combine.
 """
 
 from __future__ import annotations
@@ -112,7 +112,10 @@ def dedup_postings(df: DataFrame, keys: list[str] | None = None,
     repeated copies before the shuffle, so a key holding many copies costs one
     row per map task, never one huge group.
     """
-    key_cols = _present(df, keys or rules.DEDUP_KEYS)
+    wanted = keys or rules.DEDUP_KEYS
+    key_cols = _present(df, wanted)
+    if len(key_cols) < len(wanted):
+        raise ValueError(f"missing key columns: {sorted({k.lower() for k in wanted} - {c.lower() for c in df.columns})}")
     if per_partition:
         key_cols += [c for c in _present(df, rules.PARTITION_COLUMNS) if c not in key_cols]
     lower_keys = {k.lower() for k in key_cols}

@@ -36,6 +36,17 @@ def prepare_companies(companies: DataFrame, ignore_case: bool = False) -> tuple[
     return base, clean.drop_industries(base, ignore_case)
 
 
+def one_per_name(companies: DataFrame) -> DataFrame:
+    """One row per company name: the smallest by the other columns, in order.
+
+    Silver holds one row per posting, so a name that several companies share
+    must not multiply its postings.
+    """
+    rest = [c for c in companies.columns if c != "company_name"]
+    low = companies.where("company_name is not null").groupBy("company_name").agg(F.min(F.struct(*rest)).alias("_c"))
+    return low.select(*[F.col(c) if c == "company_name" else F.col(f"_c.`{c}`").alias(c) for c in companies.columns])
+
+
 # JON-01
 def join_companies(postings: DataFrame, companies_kept: DataFrame) -> DataFrame:
     """Postings LEFT JOIN companies on company = company_name.

@@ -143,13 +143,14 @@ def page_plan(counts: DataFrame, total_col: str = "total", page_size: int = rule
 
 
 # HRV-08
-def facet_plan(rows: DataFrame, cap: int = rules.RESULT_CAP) -> DataFrame:
+def facet_plan(rows: DataFrame, cap: int = rules.RESULT_CAP, cut: bool = False) -> DataFrame:
     """Which searches to page through, given result counts per (keyword, experience, work_type).
 
     Counts at three grains come from one ROLLUP aggregate (map-side combined).
     A keyword with total <= cap is searched as is; above the cap it is split by
-    experience level; a level still above the cap is split by work type, each
-    capped at ``cap``.  The choice is made with windows over the aggregated
+    experience level; a level still above the cap is split by work type.  ``total`` is
+    the real count and ``overflow`` what lies beyond the cap; only with
+    ``cut`` is ``total`` held at the cap.  The choice is made with windows over the aggregated
     rollup (at most 21 rows per keyword), no joins.
     """
     g = (rows.rollup("keyword", "experience", "work_type")
@@ -165,7 +166,8 @@ def facet_plan(rows: DataFrame, cap: int = rules.RESULT_CAP) -> DataFrame:
             | ((F.col("gid") == 0) & (F.col("e_total") > cap)))
     return (g.where(pick)
              .select("keyword", "experience", "work_type",
-                     F.least(F.col("total"), F.lit(cap)).cast("bigint").alias("total")))
+                     (F.least(F.col("total"), F.lit(cap)) if cut else F.col("total")).cast("bigint").alias("total"),
+                     F.greatest(F.col("total") - cap, F.lit(0)).cast("bigint").alias("overflow")))
 
 
 # HRV-09

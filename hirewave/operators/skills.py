@@ -110,7 +110,9 @@ def parse_skills(df: DataFrame, column: str = "hard_skills", mode: str = "row")
     if mode == "parsed":
         return df
     if column == "hard_skills" and len(skill_variants(df)) > 1:
-        return array_siblings_to_text(coalesce_variants(df, "row" if mode == "sniff" else mode))
+        if mode == "sniff":
+            raise ValueError("mode 'sniff' needs one skills column; use mode 'row' for producers that spell it differently")
+        return array_siblings_to_text(coalesce_variants(df, mode))
     dtype = df.schema[column].dataType
     if isinstance(dtype, ArrayType):
         return array_skills(df, column)

@@ -2,7 +2,7 @@
 
     remaining dates (source partitions - synced partitions; none left ->
     latest; no silver yet -> all) -> one scan of exactly those partitions
-    (semi join on the date keys, pruned at run time) -> silver.build ->
+    (literal partition filter) -> silver.build ->
     three dynamic overwrites: unexploded, exploded (ids), validation counts.
 
 One Spark job per output for *all* remaining dates; no driver loop over
@@ -30,8 +30,10 @@ P = rules.PARTITION_COLUMNS
 def _dates_or_none(spark: SparkSession, root: str) -> DataFrame | None:
     try:
         df = partitions.read_partitioned(spark, root)
-    except AnalysisException:  # destination not written yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None  # destination not written yet
     return partitions.list_partitions(df)
 
 
@@ -50,8 +52,9 @@ def sync_silver(spark: SparkSession, raw_root: str, companies_root: str, silver_
     run = silver.build(rows, companies, skills_mode if mode == "row" else mode)
     unexploded = run.unexploded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        writers.write_partitioned(unexploded, silver_root)
-        writers.write_partitioned(silver.silver_exploded(unexploded), exploded_root)
+        dates = [tuple(r) for r in todo.select(*P).collect()]
+        writers.replace_dates(unexploded, silver_root, dates)
+        writers.replace_dates(silver.silver_exploded(unexploded), exploded_root, dates)
         writers.write_partitioned(run.counts, validation_root)
     finally:
         unexploded.unpersist()

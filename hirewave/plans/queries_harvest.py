@@ -224,7 +224,7 @@ def q_page_plan_b(spark, sf):
 
 # ------------------------------------------------------------------ HRV-08
 _FACET_SQL = (
-    "select keyword, experience, work_type, least(total, 1000) as total from ("
+    "select keyword, experience, work_type, total, greatest(total - 1000, 0) as overflow from ("
     "select *, max(case when gid = 3 then total end) over (partition by keyword) as k_total, "
     "max(case when gid = 1 then total end) over (partition by keyword, experience) as e_total from ("
     "select keyword, experience, work_type, count(*) as total, grouping(keyword, experience, work_type) as gid "

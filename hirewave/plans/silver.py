@@ -2,7 +2,7 @@
 
 One job over *all* dates handed in (not a driver loop per date):
 
-    postings (pruned scan) -> trim -> dedup -> aliases -> location -> date
+    postings (scan of the given dates) -> trim -> dedup -> aliases -> location -> date
     -> title -> skills parse -> LEFT JOIN companies (latest, filtered)
     -> title / skill taxonomies -> 43-column projection -> verticals
     -> manager filter                       = silver, unexploded
@@ -39,7 +39,7 @@ def project_silver(df: DataFrame) -> DataFrame:
 def enriched(postings: DataFrame, companies_kept: DataFrame, skills_mode: str = "row") -> DataFrame:
     """Cleaned rows joined to companies, both taxonomies applied, projected."""
     rows = clean.clean_rows(postings).transform(lambda d: skills.parse_skills(d, mode=skills_mode))
-    joined = enrich.join_companies(rows, companies_kept)
+    joined = enrich.join_companies(rows, enrich.one_per_name(companies_kept))
     return project_silver(clean.add_title_cleaned(skills.map_skills(joined)))
 
 

@@ -39,17 +39,14 @@ def build_session(master: str = "local[8]", app: str = "hirewave",
 def apply_job_conf(spark: SparkSession) -> None:
     """Set the runtime SQL settings the jobs depend on (idempotent)."""
     for k, v in JOB_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on some deployments
-            pass
+        spark.conf.set(k, v)
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for lineage cuts and written tables.
 
     Read from ``spark.checkpoint.dir`` (or an already set checkpoint dir);
-    only when neither is set (local tests) a scratch folder is made here.
+    only when neither is set, on a local master, a scratch folder is made here.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,6 +59,8 @@ def shared_dir(spark: SparkSession) -> str:
         except Exception:
             conf_dir = None
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="hirewave-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -1,11 +1,11 @@
 """Sinks: date-partitioned Parquet (re-runnable), CSV, stringified Parquet.
 
 Partitioned writes are **dynamic overwrites**: only the dates present in
-the frame are replaced, so re-running a date (or running it twice) gives
-the same table.  Rows are range-partitioned on (year, month, day, row
-hash) before the write: an ordinary date lands in one task (one file),
-while a date holding a large share of the rows is split over many tasks
-instead of being written by one.
+the frame are replaced; ``replace_dates`` also empties requested dates that
+have no rows any more, so re-running a date gives the same table.  Rows are
+rebalanced by date before the write, without sampling the input first: an
+ordinary date lands in one task (one file), while AQE splits a date that
+holds a large share of the rows over many tasks.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ P = rules.PARTITION_COLUMNS
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    return df.repartitionByRange(*[F.col(c) for c in P], F.xxhash64(*[F.col(c) for c in df.columns]))
+    return df.hint("rebalance", *[F.col(c) for c in P])
 
 
 # SNK-01 / SNK-05 / SNK-06
@@ -30,13 +30,31 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite") -> None
         .parquet(path))
 
 
+def replace_dates(df: DataFrame, path: str, dates: list[tuple[str, str, str]]) -> None:
+    """Write ``df`` and empty those of ``dates`` (bounded by the calendar) that it has no rows for."""
+    from hirewave.sources.partitions import dates_filter, read_partitioned
+
+    write_partitioned(df, path)
+    spark = df.sparkSession
+    kept = {tuple(r) for r in df.select(*P).distinct().collect()}
+    table = read_partitioned(spark, path, df.schema).where(dates_filter(dates))
+    stale = {tuple(r) for r in table.select(*P).distinct().collect()} - kept
+    for y, m, d in sorted(stale):
+        (df.drop(*P).limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static")
+           .parquet(f"{path.rstrip('/')}/year={y}/month={m}/day={d}"))
+
+
 def save_table(df: DataFrame, path: str, table: str | None = None) -> None:
     """SNK-01: write by date (dynamic overwrite) and refresh the catalog table."""
     write_partitioned(df, path)
     if table:
         spark = df.sparkSession
         if spark.catalog.tableExists(table):
-            spark.sql(f"MSCK REPAIR TABLE {table}")
+            name = ".".join(f"`{x}`" for x in table.split("."))
+            dates = [tuple(r) for r in df.select(*P).distinct().collect()]  # bounded by the calendar
+            parts = " ".join(f"PARTITION (year='{y}', month='{m}', day='{d}')" for y, m, d in dates)
+            if parts:
+                spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
             spark.catalog.refreshTable(table)
         else:
             from hirewave.sources.catalog import register_table
@@ -61,18 +79,18 @@ def land_raw(df: DataFrame, root: str, run_date: Column | None = None) -> None:
 # SNK-02
 def stringify_all(df: DataFrame, null_token: str | None = None) -> DataFrame:
     """Every column cast to string.  NULL stays NULL unless ``null_token``
-    (e.g. 'nan', as the original writer produced) is given."""
+    (e.g. 'nan', as the original writer produced) is given.  Arrays of text
+    are printed as quoted lists, the form the skills parser reads back."""
     cols = []
-    for c in df.columns:
+    for c, kind in df.dtypes:
         s = F.col(c).cast("string")
+        if kind == "array<string>":
+            quoted = F.transform(F.col(c), lambda x: F.concat(F.lit("'"), x, F.lit("'")))
+            s = F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
         cols.append((F.coalesce(s, F.lit(null_token)) if null_token is not None else s).alias(c))
     return df.select(*cols)
 
 
-def write_parquet_strings(df: DataFrame, path: str, null_token: str | None = None) -> None:
-    stringify_all(df, null_token).write.mode("overwrite").parquet(path)
-
-
 # SNK-03 / SNK-04
 CSV_NULL = "\\N"
 

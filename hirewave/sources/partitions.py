@@ -37,11 +37,24 @@ def scan_partition(spark: SparkSession, root: str, year: str, month: str, day: s
     return read_partitioned(spark, root).where(date_filter(year, month, day))
 
 
-def scan_dates(spark: SparkSession, root: str, dates: DataFrame) -> DataFrame:
-    """All partitions listed in ``dates`` (year, month, day): a semi join on the
-    partition columns, which dynamic partition pruning turns into a directory
-    filter at run time — no driver loop over dates."""
-    return read_partitioned(spark, root).join(F.broadcast(dates.select(*P)), P, "left_semi")
+def scan_dates(spark: SparkSession, root: str, dates: DataFrame, schema: StructType | None = None,
+               merge_schema: bool = False) -> DataFrame:
+    """All partitions listed in ``dates`` (year, month, day), and only those.
+
+    The list is bounded by the calendar: it is collected once and becomes a
+    literal filter on the partition columns, so the scan lists and reads the
+    requested directories alone.
+    """
+    keys = sorted({tuple(r) for r in dates.select(*P).collect()})
+    if merge_schema and keys:
+        paths = [f"{root.rstrip('/')}/year={y}/month={m}/day={d}" for y, m, d in keys]
+        return spark.read.option("basePath", root).option("mergeSchema", "true").parquet(*paths)
+    return read_partitioned(spark, root, schema).where(dates_filter(keys))
+
+
+def dates_filter(keys: list[tuple[str, str, str]]) -> Column:
+    """Literal filter on the partition columns for a list of (year, month, day)."""
+    return F.concat_ws("/", *P).isin([f"{y}/{m}/{d}" for y, m, d in keys]) if keys else F.lit(False)
 
 
 # SRC-04 / ORD-01
@@ -70,7 +83,6 @@ def remaining_dates(src_dates: DataFrame, dest_dates: DataFrame | None) -> DataF
     if dest_dates is None:
         return src
     dest = dest_dates.select(*P).distinct()
-    # a list of dates: bounded by the calendar, safe to broadcast
-    left = src.join(F.broadcast(dest), P, "left_anti")
+    left = src.join(dest, P, "left_anti")
     fallback = latest_partition(dest).where(~left.exists())
     return left.unionByName(fallback)

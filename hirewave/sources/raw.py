@@ -12,7 +12,6 @@ unioned into one frame.  The data work is still one Spark job.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hirewave.functions import rules
 from hirewave.operators import clean, skills
@@ -28,8 +27,7 @@ def read_dates(spark: SparkSession, root: str, dates: DataFrame) -> tuple[DataFr
     ``"parsed"`` after the per-schema fallback (skills parsed per group).
     """
     try:
-        raw = partitions.read_partitioned(spark, root, merge_schema=True)
-        return raw.join(F.broadcast(dates.select(*P)), P, "left_semi"), "row"
+        return partitions.scan_dates(spark, root, dates, merge_schema=True), "row"
     except Exception as e:  # surfaces as a JVM error; only a schema-merge failure falls back
         text = str(e)
         if "CANNOT_MERGE_SCHEMAS" not in text and "Failed to merge" not in text:

@@ -5,7 +5,7 @@ the stream's checkpoint remembers which raw files were processed.  With
 ``trigger(availableNow=True)`` each run processes everything new and stops.
 
 Inside ``foreachBatch`` only the *touched dates* matter: those whole raw
-partitions are re-read (semi join on the date keys, pruned at run time),
+partitions are re-read (a literal filter on their dates),
 run through the batch job and dynamically overwritten.  Writing just the
 batch rows would drop the earlier rows of a date that arrives in two
 files; re-reading the whole date keeps dedup and ids per date correct.
@@ -15,13 +15,13 @@ Late files need no watermark — a late file simply redoes its date.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from hirewave.functions import rules
 from hirewave.plans import silver
 from hirewave.sinks import writers
 from hirewave.sources import partitions
+from hirewave.sources import raw as raw_reads
 
 P = rules.PARTITION_COLUMNS
 
@@ -33,15 +33,18 @@ def start_sync(spark: SparkSession, raw_root: str, raw_schema: StructType, compa
 
     def run_batch(batch: DataFrame, epoch_id: int) -> None:
         touched = batch.select(*P).distinct()
-        rows = partitions.scan_dates(batch.sparkSession, raw_root, touched)
-        result = silver.build(rows, companies)
-        writers.write_partitioned(result.unexploded, silver_root)
-        if exploded_root:
-            writers.write_partitioned(result.exploded, exploded_root)
+        rows, mode = raw_reads.read_dates(batch.sparkSession, raw_root, touched)
+        unexploded = silver.build(rows, companies, mode).unexploded.persist()
+        dates = [tuple(r) for r in touched.collect()]
+        try:
+            writers.replace_dates(unexploded, silver_root, dates)
+            if exploded_root:
+                writers.replace_dates(silver.silver_exploded(unexploded), exploded_root, dates)
+        finally:
+            unexploded.unpersist()
 
     stream = (spark.readStream.schema(raw_schema)
               .option("basePath", raw_root)
-              .option("maxFilesPerTrigger", 1000)
               .parquet(raw_root))
     w = stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
@@ -49,13 +52,9 @@ def start_sync(spark: SparkSession, raw_root: str, raw_schema: StructType, compa
 
 
 def sync_once(spark: SparkSession, raw_root: str, raw_schema: StructType, companies: DataFrame,
-              silver_root: str, checkpoint_location: str) -> DataFrame:
-    q = start_sync(spark, raw_root, raw_schema, companies, silver_root, checkpoint_location)
+              silver_root: str, checkpoint_location: str, exploded_root: str | None = None) -> DataFrame:
+    q = start_sync(spark, raw_root, raw_schema, companies, silver_root, checkpoint_location, exploded_root)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return partitions.read_partitioned(spark, silver_root)
-
-
-def touched_dates(batch: DataFrame) -> DataFrame:
-    return batch.select(*P).distinct().orderBy(*[F.col(c) for c in P])

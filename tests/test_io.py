@@ -81,7 +81,7 @@ def test_csv_roundtrip_keeps_blank_null_and_newline(spark, tmp_dir):
 def test_stringify_all(spark):
     df = spark.createDataFrame([(1, None, ["a", "b"])], "i bigint, s string, a array<string>")
     r = writers.stringify_all(df).first()
-    assert tuple(r) == ("1", None, "[a, b]")
+    assert tuple(r) == ("1", None, "['a', 'b']")
     r2 = writers.stringify_all(df, null_token="nan").first()
     assert r2["s"] == "nan"
 
