@@ -84,7 +84,7 @@ def article(html: Column) -> Column:
 # HRV-03
 def list_items(pages: DataFrame) -> DataFrame:
     """One row per <li>: its markup and the first href inside it ('' when none)."""
-    li = F.explode(F.regexp_extract_all(F.col("html"), F.lit(r"(?s)<li[^>]*>(.*?)</li>"), 1)).alias("li")
+    li = F.explode(F.regexp_extract_all(F.col("html"), F.lit(r"(?s)<li(?:\s[^>]*)?>(.*?)</li>"), 1)).alias("li")
     return (pages.select("page_id", "url", "keyword", li)
                  .withColumn("href", F.regexp_extract("li", r'href="([^"]*)"', 1)))
 
@@ -110,7 +110,7 @@ def next_link(pages: DataFrame, current_page: Column) -> Column:
 # HRV-06
 def result_count(label: Column) -> Column:
     """Digits of the first word of the label ('1,234 new' -> 1234); any failure -> 0."""
-    first = F.split_part(F.trim(label), F.lit(" "), F.lit(1))
+    first = F.regexp_extract(label, r"(\S+)", 1)
     return F.coalesce(F.regexp_replace(first, "[^0-9]", "").try_cast("int"), F.lit(0))
 
 

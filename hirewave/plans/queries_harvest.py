@@ -54,7 +54,7 @@ _LINKS_SQL = (
     f"select '{RUN_DATE}' as extract_date, d.v as department, t.main_title, t.keyword as job_title, t.url from ("
     "select l.page_id, l.keyword, coalesce(m.v, l.keyword) as main_title, "
     "regexp_extract(l.li, 'href=\"([^\"]*)\"', 1) as url from ("
-    "select page_id, keyword, unnest(regexp_extract_all(html, '(?s)<li[^>]*>(.*?)</li>', 1)) as li from pages_kw) l "
+    "select page_id, keyword, unnest(regexp_extract_all(html, '(?s)<li(?:\\s[^>]*)?>(.*?)</li>', 1)) as li from pages_kw) l "
     "left join title_map m on lower(l.keyword) = m.k) t left join dept_map d on lower(t.main_title) = d.k")
 
 
@@ -166,7 +166,7 @@ def q_dedup_urls(spark, sf):
 # ------------------------------------------------------------------ HRV-04
 @register("detail_links", fixtures.with_ctes(
     "select page_id, concat(url, '&job=', regexp_replace(regexp_extract(li, 'href=\"([^\"]*)\"', 1), '^/', '')) "
-    "as job_link from (select page_id, url, unnest(regexp_extract_all(html, '(?s)<li[^>]*>(.*?)</li>', 1)) as li "
+    "as job_link from (select page_id, url, unnest(regexp_extract_all(html, '(?s)<li(?:\\s[^>]*)?>(.*?)</li>', 1)) as li "
     "from pages_kw)", pages_kw=fixtures.PAGES_KW_SQL))
 def q_detail_links(spark, sf):
     return harvest.detail_links(harvest.list_items(fixtures.pages_kw(spark, sf)))

@@ -126,3 +126,11 @@ def test_parsed_fields_follow_nested_markup(spark):
     df = spark.createDataFrame([(1, html)], "page_id bigint, html string")
     r = harvest.page_fields_parsed(df, "h2").first()
     assert (r["job_title"], r["company"], r["posted_on"], r["salary"]) == ("T", "Acme é", "2 days ago", "")
+
+
+def test_list_items_pass_over_link_tags_and_counts_take_any_blank(spark):
+    page = spark.createDataFrame([(1, "u", "k", '<link rel="icon" href="/i"><ul><li class="c"><a href="/j1">x</a></li><li><a href="/j2">y</a></li></ul>')],
+                                 "page_id int, url string, keyword string, html string")
+    assert [r.href for r in harvest.list_items(page).collect()] == ["/j1", "/j2"]
+    labels = spark.createDataFrame([("\n   1,234 new",), ("5\tnew",), ("none",), (None,)], "label string")
+    assert [r.n for r in labels.select(harvest.result_count(F.col("label")).alias("n")).collect()] == [1234, 5, 0, 0]
