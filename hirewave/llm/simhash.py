@@ -43,16 +43,16 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS, seed: int
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(id, fp long) for every row; a null text counts as empty."""
+    """(id, tag, fp long) for every row; a null text counts as empty.  ``tag`` is a hash of the text."""
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([fingerprint(t.as_py(), shingle_words) for t in b.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["id", "fp"])
+            fp = np.array([fingerprint(t.as_py(), shingle_words) for t in b.column(2)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(fp.view(np.int64))], names=["id", "tag", "fp"])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, fp long")
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("tag"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, tag long, fp long")
 
 
 def _signed(mask: int) -> int:
@@ -110,6 +110,17 @@ def _midpoint_edges(fps: DataFrame, max_bits: int) -> DataFrame:
     return spots.select(F.col("fp").alias("b"), first.alias("a")).where("a is not null and a <> b").select("a", "b").distinct()
 
 
+def _groups(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(id, tag, fp) of every row, and (fp, root, component) of every fingerprint; ``root`` names the group."""
+    prints = materialize(fingerprints(docs, id_col, text_col, shingle_words), "simhash")
+    classes = prints.groupBy("fp").agg(F.min("id").alias("low"))
+    roots = connected_components(close_pairs(classes.select("fp"), max_bits), "simhash-cc")
+    placed = classes.join(roots, classes.fp == roots.node, "left").select(
+        "fp", "low", F.coalesce("root", "fp").alias("root"))
+    lows = placed.groupBy("root").agg(F.min("low").alias("component"))
+    return prints, placed.join(lows, "root").select("fp", "root", "component")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """(id, fp, component) for every row of ``docs``.
@@ -122,29 +133,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows come back as often as they came; ids may be null (a class of null
     ids only has a null component).  An empty table gives an empty result.
     """
-    prints = materialize(fingerprints(docs, id_col, text_col, shingle_words), "simhash")
-    classes = prints.groupBy("fp").agg(F.min("id").alias("low"))
-    roots = connected_components(close_pairs(classes.select("fp"), max_bits), "simhash-cc")
-    placed = classes.join(roots, classes.fp == roots.node, "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root"))
-    lows = placed.groupBy("root").agg(F.min("low").alias("component"))
-    by_fp = placed.join(lows, "root").select("fp", "component")
+    prints, by_fp = _groups(docs, id_col, text_col, shingle_words, max_bits)
     return prints.join(by_fp, "fp").select("id", "fp", "component")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id.
+    """``docs`` with one row of each group: the one with the smallest id (then the smallest text hash).
 
-    Rows that repeat the kept id are folded into one (the smallest by the
-    other columns' hash); rows without an id are kept only when no row of
-    their component has an id.
+    Rows that repeat both its id and its text are folded into one (the smallest
+    by the hash of all columns); rows without an id stay only where no row of
+    their group has one.  Rows of one id with texts of different groups are
+    judged apart.
     """
-    found = near_duplicates(docs, id_col, text_col, shingle_words, max_bits)
-    stay = found.where(F.col("id").eqNullSafe(F.col("component"))).groupBy("id").agg(F.min("fp").alias("_fp"))
-    order = Window.partitionBy(id_col).orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
-    kept = docs.join(stay.select(F.col("id").alias("_id")), F.col(id_col).eqNullSafe(F.col("_id"))).drop("_id")
-    return kept.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    prints, by_fp = _groups(docs, id_col, text_col, shingle_words, max_bits)
+    stay = prints.join(by_fp, "fp").groupBy("root").agg(
+        F.min(F.struct(F.col("id").isNull().alias("last"), "id", "tag")).alias("k")).select(
+        F.col("k.id").alias("stay_id"), F.col("k.tag").alias("stay_tag"))
+    plain = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), F.col(id_col).alias("id"),
+                       F.xxhash64(F.col(text_col)).alias("tag"), F.xxhash64(*plain).alias("whole"))
+    order = Window.partitionBy("id", "tag").orderBy("whole")
+    kept = rows.join(stay, F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("tag") == F.col("stay_tag")))
+    kept = kept.withColumn("nth", F.row_number().over(order)).where("nth = 1")
+    return kept.select(*[F.col(f"d.`{c}`").alias(c) for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,6 +92,27 @@ def test_simhash_keeps_one_row_of_each_group_and_takes_extra_columns(spark):
     assert simhash.near_duplicates(docs).count() == 5
 
 
+def test_simhash_judges_repeated_ids_by_their_texts(spark):
+    texts = [(3, "one two three four five"), (3, "six seven eight nine ten"), (3, "six seven eight nine ten"), (7, "one two three four five"),
+             (None, "alone without any id here"), (None, "alone without any id here")]
+    docs = frame(spark, texts).withColumn("_id", F.lit(1)).withColumn("_n", F.lit("x")).withColumn("tag", F.lit(2)).withColumn(
+        "a.b", F.create_map(F.lit("k"), F.lit(1))).withColumn("whole", F.lit(0))
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted({texts[0], texts[1], texts[4]}, key=repr)
+
+
+def test_hot_minimisers_are_found_however_thinly_spread(spark, monkeypatch):
+    monkeypatch.setattr(substring, "CHUNK_BYTES", 500)
+    monkeypatch.setattr(substring, "HOT_RUNS", 400)
+    r = random.Random(11)
+    texts = [(i, " ".join(["same phrase of thirteen words that stands once in every single text here"]
+                          + [f"u{r.randrange(10**9)}" for _ in range(60)])) for i in range(1500)]
+    rows = frame(spark, texts).selectExpr("doc_id id", "hash(text) tag", "cast(text as binary) text")
+    hot = substring._hot_minimisers(rows, 1, 13, 2, 64)
+    assert 1 <= len(hot) <= 3
+
+
 def test_components_of_a_long_chain_and_empty(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(200)], "a long, b long")
     assert {(r.node, r.root) for r in connected_components(chain).collect()} == {(i, 0) for i in range(201)}
