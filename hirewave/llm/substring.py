@@ -244,20 +244,25 @@ def covered(text: str | None, marks: list[tuple[int, int]], window: int) -> tupl
 def _hot_minimisers(rows: DataFrame, n_runs: int, window: int, minimiser: int, buckets: int) -> list[int]:
     """Minimisers that would fill a bucket; they decide how rows are dealt, never the result.
 
-    Every chunk of every document is counted; a chunk reports the minimisers
-    with at least half a bucket's share of its runs.  At most one minimiser
+    Every chunk of every document is counted.  A count below ``step`` is
+    reported as ``step`` with probability count / step (by a hash of minimiser
+    and chunk), so a minimiser's sum is right on average however thinly it is
+    spread, and there are about runs / step reports.  At most one minimiser
     per bucket can have a bucket's share of all runs, which bounds the list.
     """
+    limit = max(HOT_RUNS, n_runs // buckets)
+    step = max(1, limit // 50)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for docs in _chunks(batches):
             w = Words([d[2] for d in docs])
-            heads, _, key = super_kmers(w, Rolling(w.buf), window, minimiser)
+            _, _, key = super_kmers(w, Rolling(w.buf), window, minimiser)
             names, count = np.unique(key, return_counts=True)
-            often = count > max(3, len(heads) / buckets / 2)
-            yield pa.RecordBatch.from_arrays([pa.array(names[often].view(np.int64)), pa.array(count[often])], names=["k", "n"])
+            chunk = mix(np.array([docs[0][0] & 0xFFFFFFFFFFFFFFFF], dtype=_U) + _U(docs[0][1]))
+            told = (mix(names ^ chunk) % _U(step)).astype(np.int64) < count
+            yield pa.RecordBatch.from_arrays([pa.array(names[told].view(np.int64)), pa.array(np.maximum(count[told], step))], names=["k", "n"])
 
     found = rows.mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
-    limit = max(HOT_RUNS, n_runs // buckets)
     return [r[0] for r in found.where(F.col("n") > limit).select("k").collect()]
 
 
