@@ -160,26 +160,29 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Both bounds are on what the fit reads; the rows are picked by id hash.  A
     document with several labels counts with its lowest; labels without a
-    document, and null labels, are left out.  With fewer than two classes
-    there is no model (None).
+    document, and null labels, are left out.  Rows that repeat an id count
+    once (the one with the smallest features), rows without an id not at all,
+    so the driver gets a row an id at most.  With fewer than two classes there
+    is no model (None).
     """
     ship_package(docs.sparkSession)
     marked = (labels.where(f"`{label_col}` is not null and `{label_id}` is not null").groupBy(F.col(label_id).alias("_id"))
               .agg(F.min(F.col(label_col).cast("int")).alias("y")).orderBy(F.xxhash64("_id"), "_id").limit(train_rows))
     n = docs.count()
+    rows = docs.select(*_inputs(docs, id_col, text_col, meta)).where("id is not null")
     picked = F.pmod(F.xxhash64(F.lit(7), F.col("id")), F.lit(1 << 20)) < int(min(1.0, pool_rows / max(n, 1)) * (1 << 20))
-    rows = docs.select(*_inputs(docs, id_col, text_col, meta))
     known = rows.join(F.broadcast(marked), F.col("id") == F.col("_id"), "left").where(F.col("y").isNotNull() | picked)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x, m = _featurise(b, 1)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(x.tolist(), pa.list_(pa.float64())), pa.array(m.tolist(), pa.list_(pa.int64()))],
-                names=["y", "x", "m"])
+                [b.column(0), pa.array(x.tolist(), pa.list_(pa.float64())), pa.array(m.tolist(), pa.list_(pa.int64())),
+                 b.column(5)], names=["id", "x", "m", "y"])
 
-    got = known.select("y", "text", "source", "lang", "chars").mapInArrow(
-        features, "y int, x array<double>, m array<bigint>").toArrow()
+    seen = known.select("id", "text", "source", "lang", "chars", "y").mapInArrow(
+        features, f"id {dict(docs.dtypes)[id_col]}, x array<double>, m array<bigint>, y int")
+    got = seen.groupBy("id").agg(F.min(F.struct("x", "m", "y")).alias("f")).select("f.*").toArrow()
     y = np.array([-1 if v is None else min(max(v, 0), 1) for v in got["y"].to_pylist()])
     x = np.array(got["x"].to_pylist(), dtype=np.float64).reshape(len(y), N_TEXT)
     m = np.array(got["m"].to_pylist(), dtype=np.int64).reshape(len(y), 4)

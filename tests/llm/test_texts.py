@@ -149,6 +149,20 @@ def test_classifier_edges(spark):
     assert quality.scores(docs.limit(0), model).count() == 0
 
 
+def test_repeated_and_missing_ids_do_not_swell_the_fit(spark, monkeypatch):
+    rows = junk_and_prose(300)
+    hot = [rows[0]] * 400 + [(None, *x[1:]) for x in rows]
+    labels = spark.createDataFrame([(x[0], x[5]) for x in rows[:200]], "doc_id long, quality int")
+    sizes = []
+
+    def seen(x, m, y, pool_x, pool_m):
+        sizes.append((len(y), len(pool_x)))
+    monkeypatch.setattr(quality, "co_train", seen)
+    for more in ([], hot):
+        quality.train(spark.createDataFrame([x[:5] for x in rows + more], DOCS), labels)
+    assert sizes == [(200, 100)] * 2
+
+
 def test_views_teach_each_other():
     r = np.random.default_rng(1)
     y = (r.random(300) < .5).astype(int)
