@@ -163,23 +163,26 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     found = mix(docs, id_col, text_col, source_col, **params)
     per_key = Window.partitionBy("id", "src", "text_key").orderBy("taken")
-    found = found.withColumn("_nth", F.row_number().over(per_key)).where("taken > 0").select(
-        F.col("id").alias("_id"), F.col("src").alias("_src"), F.col("text_key").alias("_key"), "_nth",
-        F.col("size").alias("_size"), F.col("taken").alias("_taken"))
-    mine = Window.partitionBy(id_col, source_col, "_text_key").orderBy(F.lit(0))
-    keyed = docs.withColumn("_text_key", F.xxhash64(F.col(text_col))).withColumn("_row", F.row_number().over(mine))
-    same = (F.col(id_col).eqNullSafe(F.col("_id")) & F.col(source_col).cast("string").eqNullSafe(F.col("_src"))
-            & (F.col("_text_key") == F.col("_key")) & (F.col("_row") == F.col("_nth")))
+    found = found.withColumn("nth", F.row_number().over(per_key)).where("taken > 0").select(
+        F.col("id").alias("mix_id"), F.col("src").alias("mix_src"), F.col("text_key").alias("mix_key"), F.col("nth").alias("mix_nth"),
+        "size", "taken")
+    mine = Window.partitionBy("id", "src", "text_key").orderBy(F.lit(0))
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col])
+    keyed = docs.select(others.alias("d"), F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("src"),
+                        F.xxhash64(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text")).withColumn(
+        "nth", F.row_number().over(mine))
+    same = (F.col("id").eqNullSafe(F.col("mix_id")) & F.col("src").eqNullSafe(F.col("mix_src"))
+            & (F.col("text_key") == F.col("mix_key")) & (F.col("nth") == F.col("mix_nth")))
     copies = keyed.join(found, same).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("_taken") / F.col("_size")))))
-    left = F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")
-    head = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)),
+        "copy", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / F.col("size")))))
+    left = F.col("taken") - (F.col("copy") - 1) * F.col("size")
+    head = F.array_join(F.slice(F.regexp_extract_all(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)),
                                 F.lit(1), left.cast("int")), " ")
-    out = copies.withColumn(text_col, F.when(left < F.col("_size"), head).otherwise(F.col(text_col)))
+    out = copies.withColumn("part", left < F.col("size")).withColumn("text", F.when(F.col("part"), head).otherwise(F.col("text")))
+    new = {text_col: F.col("text")}
     if chars_col in docs.columns:
-        kind = dict(docs.dtypes)[chars_col]
-        out = out.withColumn(chars_col, F.when(left < F.col("_size"), F.length(text_col).cast(kind)).otherwise(F.col(chars_col)))
-    return out.select(*docs.columns)
+        new[chars_col] = F.when(F.col("part"), F.length("text").cast(dict(docs.dtypes)[chars_col])).otherwise(F.col(f"d.`{chars_col}`"))
+    return out.select(*[new.get(c, F.col(f"d.`{c}`")).alias(c) for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -120,7 +120,8 @@ def test_quotas_are_sainte_lague(spark):
 
 def test_mixed_documents_take_effect(spark):
     rows = [(i, f"w{i} " * 10, "abc"[i % 3]) for i in range(300)] + [(1, "w1 " * 10, "b")]
-    docs = frame(spark, rows).withColumn("size", F.lit("clash"))
+    docs = frame(spark, rows).withColumn("size", F.lit("clash")).withColumn("_id", F.lit(1)).withColumn("_key", F.lit(1)).withColumn(
+        "nth", F.lit(1)).withColumn("part", F.lit("x"))
     want = {}
     for x in mixing.mix(docs).collect():
         want[x.id] = want.get(x.id, 0) + x.taken
