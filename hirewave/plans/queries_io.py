@@ -9,7 +9,7 @@ from hirewave.functions import rules
 from hirewave.operators import clean
 from hirewave.plans import oracle as O
 from hirewave.plans import silver
-from hirewave.plans.queries_clean import flat
+from hirewave.plans.queries_clean import FUNNEL_SQL, flat
 from hirewave.plans.registry import register
 from hirewave.session import scratch_path
 from hirewave.sinks import writers
@@ -176,6 +176,34 @@ def q_csv(spark, sf):
     return writers.read_csv(spark, path)
 
 
+@register("csv_append", O.with_stages("select cast(columns(*) as varchar) from titled", "titled"))
+def q_csv_append(spark, sf):
+    rows = clean.clean_rows(fixtures.postings(spark, sf)).withColumn("_half", F.pmod(F.xxhash64("job_url"), F.lit(2)))
+    path = scratch_path(spark, "csv_append")
+    writers.write_csv(rows.where("_half = 0").drop("_half"), path)
+    writers.append_csv(rows.where("_half = 1").drop("_half"), path)
+    return writers.read_csv(spark, path)
+
+
+# ------------------------------------------------------------------ SNK-05
+@register("land_by_run_date", "select o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y') as year, "
+          "strftime(o_orderdate, '%m') as month, strftime(o_orderdate, '%d') as day from orders")
+def q_land_by_run_date(spark, sf):
+    root = scratch_path(spark, "landed_orders")
+    orders = fixtures.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    writers.land_raw(orders, root, F.col("o_orderdate"))
+    return partitions.read_partitioned(spark, root).select("o_orderkey", "o_orderstatus", *P)
+
+
+# ------------------------------------------------------------------ SNK-06
+@register("validation_table", O.with_stages(FUNNEL_SQL, "silver", "kept_companies"))
+def q_validation_table(spark, sf):
+    root = scratch_path(spark, "validation")
+    counts = silver.build(fixtures.postings(spark, sf), fixtures.companies(spark, sf)).counts
+    writers.write_partitioned(counts, root)
+    return partitions.read_partitioned(spark, root)
+
+
 # ------------------------------------------------------------------ SNK-07
 @register("partition_cols", "select o_orderkey, strftime(o_orderdate, '%Y') as year, "
           "strftime(o_orderdate, '%m') as month, strftime(o_orderdate, '%d') as day from orders")
