@@ -175,6 +175,33 @@ LIST_PAGES_SQL = ("select page_id, url, cast(page_id % 3 + 1 as int) as current_
                       for k in range(1, 6))
                   + ", '</nav>') as html from pages")
 
+# pages as sites write them: nested tags, <link>, shuffled attributes, either quote, entities.
+# Only Spark builds them; the oracles start from the columns they are made of.
+MARKED_DETAIL_SQL = """select rid as page_id, job_url as url, concat('<html><head><link rel="icon" href="/i.png"></head><body><h2 class="t"> ',
+ '<em>', title, '</em> </h2><h2>Similar jobs</h2>',
+ '<div><span class="n" data-testid="viewJobCompanyName"><b>', company, '</b></span></div>',
+ case when location is null then '' else concat('<SPAN title="a > b" DATA-TESTID=', chr(39), 'viewJobCompanyLocation', chr(39), '>', location, '</SPAN>') end,
+ '<span data-testid="viewJobBodyJobDetailsJobType">', job_type, '<!-- span --></span>',
+ '<span data-testid="viewJobBodyJobCompensation">$', cast(rid % 150 + 50 as string), ',000 &amp; up &#8211; <i>yearly</i></span>',
+ '<span data-testid="viewJobBodyJobPostingTimestamp"><span data-testid="detailText">', cast(rid % 9 + 1 as string), ' days ago</span></span>',
+ case when rid % 4 = 0 then '' else concat('<div class="q" data-testid="viewJobQualificationsContainer"><div><h3>Needs</h3></div><ul><li><div>',
+   org, '</div></li><li>', role, '<br></li><li>', domain, '</li></ul><ul><li>other</li></ul></div>') end,
+ '<div data-testid="viewJobBodyJobFullDescriptionContent"><div><p>', description, '</p></div><p>', department, ' <b>team</b></p></div><p>foot</p>',
+ '</body></html>') as html from postings"""
+
+_MARKED_ITEMS = ", ".join(
+    f"""case when page_id % 4 >= {k} then concat('<li class="x css-0"><div class="c" data-jobkey="k', cast(page_id as string), '-{k}"><div><a title="t" href=',
+ chr(39), '/job?id={k}&amp;p=', cast(page_id as string), chr(39), '>T{k}</a><a href="/x">x</a></div></div></li><li class="ad"><div data-jobkey="ad"></div></li>') else '' end"""
+    for k in range(1, 4))
+_MARKED_PAGER = ", ".join(
+    f"""case when page_id % 5 + 1 >= {k} then concat('<a aria-label="page {k}" href="', replace(url, '&', '&amp;'), '&amp;pn={k}" class="chakra-link css-1wxsdwr"><b>{k}</b></a>') else '' end"""
+    for k in range(1, 6))
+MARKED_LIST_SQL = f"""select page_id, url, keyword, cast(page_id % 3 + 1 as int) as current_page,
+ concat('<html><head><link rel="next" href="/n"></head><body><nav><ul><li class="css-0"><div data-jobkey="nav"><a href="/home">Home</a></div></li></ul></nav>',
+ case when page_id % 7 = 0 then '' else concat('<span id="r" class="h results-context-header__new-jobs">', chr(10), '   <b>',
+   cast(page_id % 9 + 1 as string), ',', lpad(cast(page_id % 1000 as string), 3, '0'), '</b> new jobs </span>') end,
+ '<ul class="l" id="job-list">', {_MARKED_ITEMS}, '</ul><nav>', {_MARKED_PAGER}, '</nav></body></html>') as html from pages_kw"""
+
 RESULT_ROWS_SQL = """select concat(l_returnflag, l_linestatus, cast(l_linenumber as string)) as keyword,
  cast(least(l_partkey % 8, 4) + 1 as string) as experience,
  cast(l_suppkey % 3 + 1 as string) as work_type
@@ -204,6 +231,16 @@ def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(LIST_PAGES_SQL)
 
 
+def marked_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    postings(spark, sf_dir).createOrReplaceTempView("postings")
+    return spark.sql(MARKED_DETAIL_SQL)
+
+
+def marked_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages_kw(spark, sf_dir).createOrReplaceTempView("pages_kw")
+    return spark.sql(MARKED_LIST_SQL)
+
+
 def result_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     result_rows(spark, sf_dir).createOrReplaceTempView("result_rows")
     return spark.sql(RESULT_LABELS_SQL)

@@ -247,6 +247,10 @@ SILVER_COLUMNS: list[str] = [
 ]
 
 # board B field map onto the board A schema
+LINK_COLUMNS = ["extract_date", "department", "main_title", "job_title", "url"]
+BOARD_B_COLUMNS = ["search_keyword_for_job", "job_title", "job_url", "company", "location", "job_type", "salary",
+                   "posted_on", "job_qualification", "job_description"]
+BOARD_B_LISTS = ["job_qualification", "job_description"]
 BOARD_B_RENAMES: dict[str, str] = {
     "job_title": "title",
     "search_keyword_for_job": "search_title",
@@ -269,6 +273,9 @@ DETAIL_SPANS: list[tuple[str, str]] = [
 QUALIFICATIONS_TESTID = "viewJobQualificationsContainer"
 DESCRIPTION_TESTID = "viewJobBodyJobFullDescriptionContent"
 PAGER_LINK_CLASS = "chakra-link css-1wxsdwr"
+RESULT_LABEL_CLASS = "results-context-header__new-jobs"
+JOB_LIST_ID = "job-list"
+JOB_ITEM_CLASS = "css-0"
 
 # --------------------------------------------------------------------------
 # FIXED VALUES — printed skill lists and location text.

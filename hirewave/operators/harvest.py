@@ -3,14 +3,16 @@
 Fetching is not built.  Captured pages (page_id, url, html), keyword lists
 and result counts are tables; field extraction, link lists, page plans and
 facet plans are column expressions and aggregates over them, so they run
-in parallel over any number of pages.  All extraction is JVM-side
-(``regexp_extract`` / ``regexp_extract_all``), no Python per row.
+in parallel over any number of pages.  Extraction here is JVM-side
+(``regexp_extract`` / ``regexp_extract_all``) and fits flat markup;
+``operators.pages`` is the parser form for pages as they come.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from hirewave.functions import rules
 
@@ -222,7 +224,6 @@ def comma_rules(df: DataFrame) -> DataFrame:
 # HRV-13
 def join_lists(df: DataFrame, sep: str = ", ") -> DataFrame:
     """List columns -> text joined by ', '; other columns unchanged (schema-driven)."""
-    from pyspark.sql.types import ArrayType
     return df.withColumns({f.name: F.array_join(F.col(f.name), sep)
                            for f in df.schema.fields if isinstance(f.dataType, ArrayType)})
 
@@ -234,68 +235,18 @@ def union_boards(board_a: DataFrame, board_b: DataFrame) -> DataFrame:
     return board_a.unionByName(b, allowMissingColumns=True)
 
 
-# HRV-01, parser variant: nested markup the regexes cannot follow
-def _field_batches(batches, heading_tag: str, spans: list[tuple[str, str]]):
-    """Per Arrow batch: parse each page with the stdlib HTML parser (entities
-    decoded, nested elements followed).  Runs inside the task; pages stay
-    partitioned by Spark."""
-    from html.parser import HTMLParser
-
-    import pandas as pd
-
-    wanted = {tid: name for name, tid in spans}
-
-    class Fields(HTMLParser):
-        def __init__(self):
-            super().__init__(convert_charrefs=True)
-            self.heading: str | None = None
-            self._heading_buf: list[str] | None = None
-            self.found: dict[str, str] = {}
-            self._stack: list[str | None] = []
-            self._bufs: dict[str, list[str]] = {}
-
-        def handle_starttag(self, tag, attrs):
-            if tag == heading_tag and self.heading is None and self._heading_buf is None:
-                self._heading_buf = []
-            if tag == "span":
-                tid = dict(attrs).get("data-testid")
-                take = tid in wanted and tid not in self.found and tid not in self._bufs
-                self._stack.append(tid if take else None)
-                if take:
-                    self._bufs[tid] = []
-
-        def handle_endtag(self, tag):
-            if tag == heading_tag and self._heading_buf is not None and self.heading is None:
-                self.heading = "".join(self._heading_buf).strip()
-                self._heading_buf = None
-            if tag == "span" and self._stack:
-                tid = self._stack.pop()
-                if tid is not None:
-                    self.found[tid] = "".join(self._bufs.pop(tid))
-
-        def handle_data(self, data):
-            if self._heading_buf is not None:
-                self._heading_buf.append(data)
-            for buf in self._bufs.values():
-                buf.append(data)
-
-    for pdf in batches:
-        rows = []
-        for html in pdf["html"]:
-            p = Fields()
-            if html is not None:
-                p.feed(html)
-                p.close()
-            rows.append([p.heading or ""] + [p.found.get(tid, "") for _, tid in spans])
-        out = pd.DataFrame(rows, columns=["job_title"] + [name for name, _ in spans])
-        out.insert(0, "page_id", pdf["page_id"].to_numpy())
-        yield out
+# HRV-14
+LINK_SCHEMA = StructType([StructField(c, StringType()) for c in rules.LINK_COLUMNS])
+BOARD_B_SCHEMA = StructType([StructField(c, ArrayType(StringType()) if c in rules.BOARD_B_LISTS else StringType())
+                             for c in rules.BOARD_B_COLUMNS])
+
+
+def fixed_schema(df: DataFrame, schema: StructType) -> DataFrame:
+    """The columns of ``schema`` by name, in its order and types, also when there are no rows; absent ones raise."""
+    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def page_fields_parsed(pages: DataFrame, heading_tag: str = "h1") -> DataFrame:
-    from hirewave.session import ship_package
-    ship_package(pages.sparkSession)   # the batch function runs in Python workers
-    spans = list(rules.DETAIL_SPANS)
-    schema = "page_id long, job_title string, " + ", ".join(f"{name} string" for name, _ in spans)
-    return pages.select("page_id", "html").mapInPandas(
-        lambda it: _field_batches(it, heading_tag, spans), schema)
+    """HRV-01 by the HTML parser (``operators.pages``), for nested markup."""
+    from hirewave.operators import pages as parser
+    return parser.fields(parser.parse_pages(pages.select("page_id", "html"), heading_tag))

@@ -4,11 +4,13 @@
 task; a date may hold a third of all rows.  Instead:
 
 1. range-partition the rows on (group, order) and sort inside each
-   partition — the sampled range bounds split a hot date over many tasks;
-2. tag each row with its Spark partition id and
-   ``monotonically_increasing_id()`` (partition id << 33 + running index,
-   so consecutive inside a partition) and cut lineage with a reliable
-   ``checkpoint()`` so every later read sees the same tags;
+   partition — the sampled range bounds split a hot date over many tasks —
+   and cut lineage with a reliable ``checkpoint()``, so every later read
+   sees the same rows in the same partitions;
+2. expand them where asked (an explode is narrow and keeps the order, so
+   only the unexploded rows are shuffled and checkpointed) and tag each row
+   with its Spark partition id and ``monotonically_increasing_id()``
+   (partition id << 33 + running index, so consecutive inside a partition);
 3. count rows per (partition, group) — at most partitions + groups rows —
    and turn the counts into running offsets with a small window;
 4. broadcast the offsets back: id = offset + index inside the partition + 1.
@@ -19,6 +21,8 @@ The result equals ``row_number() over (partition by group order by order)``
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,7 +31,9 @@ from hirewave.session import shared_dir
 
 
 def sequence_ids(df: DataFrame, group_cols: list[str], order_cols: list[str],
-                 id_col: str = "id", num_partitions: int | None = None) -> DataFrame:
+                 id_col: str = "id", num_partitions: int | None = None,
+                 expand: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``df`` (after the narrow ``expand``) with ids 1.. in each group; rows one row expands to stay together."""
     spark = df.sparkSession
     shared_dir(spark)  # checkpoint target: the cluster's shared folder
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -36,12 +42,11 @@ def sequence_ids(df: DataFrame, group_cols: list[str], order_cols: list[str],
     # for the checkpoint job saves computing the upstream plan twice.
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        tagged = (src.repartitionByRange(n, *keys)
-                     .sortWithinPartitions(*keys)
-                     .withColumns({"_pid": F.spark_partition_id(), "_mono": F.monotonically_increasing_id()})
-                     .checkpoint(eager=True))
+        placed = src.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
     finally:
         src.unpersist()
+    rows = expand(placed) if expand else placed
+    tagged = rows.withColumns({"_pid": F.spark_partition_id(), "_mono": F.monotonically_increasing_id()})
     # (partition, group) pairs: a partition holds a contiguous key range, so
     # there are at most partitions + groups - 1 of them.
     spans = (tagged.groupBy("_pid", *group_cols)
@@ -54,7 +59,7 @@ def sequence_ids(df: DataFrame, group_cols: list[str], order_cols: list[str],
     join_cond = [F.col("_pid") == F.col("_o_pid")] + [
         F.col(c).eqNullSafe(F.col(f"_o_{i}")) for i, c in enumerate(group_cols)]
     out = tagged.join(F.broadcast(offsets), join_cond, "inner")
-    return out.select(*df.columns,
+    return out.select(*rows.columns,
                       (F.col("_offset") + F.col("_mono") - F.col("_first") + 1).cast("bigint").alias(id_col))
 
 

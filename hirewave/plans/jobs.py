@@ -47,9 +47,9 @@ def sync_silver(spark: SparkSession, raw_root: str, companies_root: str, silver_
     todo = partitions.remaining_dates(partitions.list_partitions(raw), _dates_or_none(spark, validation_root))
     todo = todo.checkpoint()          # the date list is reused by the scan and returned
     # one scan of those dates (per file schema when producers disagree on types)
-    rows, mode = raw_reads.read_dates(spark, raw_root, todo)
+    rows, mode = raw_reads.read_dates(spark, raw_root, todo, skills_mode)
     companies = partitions.read_partitioned(spark, companies_root)
-    run = silver.build(rows, companies, skills_mode if mode == "row" else mode)
+    run = silver.build(rows, companies, mode)
     unexploded = run.unexploded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         dates = [tuple(r) for r in todo.select(*P).collect()]

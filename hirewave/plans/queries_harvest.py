@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hirewave import fixtures
 from hirewave.functions import exprs, rules
-from hirewave.operators import enrich, harvest
+from hirewave.operators import enrich, harvest, pages
 from hirewave.plans import oracle as O
 from hirewave.plans.registry import register
 
@@ -339,3 +339,68 @@ def q_first_100(spark, sf):
     top = fixtures.postings(spark, sf).select("title", "job_url").orderBy("job_url").limit(100)
     # 100 rows after the top-k: the running number needs no partition key
     return top.select(F.row_number().over(Window.orderBy("job_url")).cast("bigint").alias("n"), "title", "job_url")
+
+
+# ------------------------------------------- HRV-01 .. 06, 14 by the page parser
+# the oracles read the columns that the pages were made of, not the pages
+def _marked(spark, sf):
+    return pages.parse_pages(fixtures.marked_lists(spark, sf))
+
+
+_MARKED_ROWS = ("select p.*, k.k from (select *, page_id % 3 + 1 as current_page from pages_kw) p "
+                "join (select unnest([1, 2, 3]) as k) k on page_id % 4 >= k.k")
+_MARKED = {"pages_kw": fixtures.PAGES_KW_SQL, "marked_rows": _MARKED_ROWS}
+
+
+@register("marked_fields", O.with_stages(
+    "select rid as page_id, trim(title) as job_title, company, coalesce(location, '') as location, job_type, "
+    "concat('$', rid % 150 + 50, ',000 & up ', chr(8211), ' yearly') as salary, "
+    "concat(rid % 9 + 1, ' days ago') as posted_on from postings", "postings"))
+def q_marked_fields(spark, sf):
+    return pages.fields(pages.parse_pages(fixtures.marked_detail(spark, sf)))
+
+
+@register("marked_text_lists", O.with_stages(
+    "select rid as page_id, case when rid % 4 = 0 then '' else concat(org, ', ', role, ', ', domain) end as job_qualification, "
+    "cast(case when rid % 4 = 0 then 0 else 3 end as bigint) as n_qualification, "
+    "concat(description, '|', department, ' |team') as job_description, cast(3 as bigint) as n_description from postings", "postings"))
+def q_marked_text_lists(spark, sf):
+    return _lists_out(pages.lists(pages.parse_pages(fixtures.marked_detail(spark, sf))))
+
+
+# the navigation entry, then a posting and an advertisement for each number
+_MARKED_LINKS = ("select page_id, keyword, '/home' as url from pages_kw union all "
+                 "select page_id, keyword, concat('/job?id=', k, '&p=', page_id) from marked_rows union all "
+                 "select page_id, keyword, '' from marked_rows")
+
+
+@register("marked_page_links", fixtures.with_ctes(
+    f"select '{RUN_DATE}' as extract_date, d.v as department, t.main_title, t.keyword as job_title, t.url from ("
+    "select l.*, coalesce(m.v, l.keyword) as main_title from marked_links l left join title_map m on lower(l.keyword) = m.k) t "
+    "left join dept_map d on lower(t.main_title) = d.k", **_MARKED, marked_links=_MARKED_LINKS, title_map=TITLE_MAP, dept_map=DEPT_MAP))
+def q_marked_page_links(spark, sf):
+    items = pages.list_items(_marked(spark, sf))
+    linked = enrich.add_department(enrich.add_main_title(items, "keyword"), "main_title")
+    named = linked.select(F.lit(RUN_DATE).alias("extract_date"), "department", "main_title",
+                          F.col("keyword").alias("job_title"), F.col("href").alias("url"))
+    return harvest.fixed_schema(named, harvest.LINK_SCHEMA)
+
+
+@register("marked_detail_links", fixtures.with_ctes(
+    "select page_id, concat(url, '&job=k', page_id, '-', k) as job_link from marked_rows", **_MARKED))
+def q_marked_detail_links(spark, sf):
+    return pages.detail_links(pages.list_items(_marked(spark, sf)))
+
+
+@register("marked_next_link", fixtures.with_ctes(
+    "select page_id, cast(page_id % 3 + 1 as integer) as current_page, case when page_id % 5 + 1 >= page_id % 3 + 2 "
+    "then concat(url, '&pn=', page_id % 3 + 2) end as next_url from pages", **_MARKED))
+def q_marked_next_link(spark, sf):
+    return _marked(spark, sf).select("page_id", "current_page", pages.next_link(F.col("current_page")).alias("next_url"))
+
+
+@register("marked_result_count", fixtures.with_ctes(
+    "select page_id, cast(case when page_id % 7 = 0 then 0 else (page_id % 9 + 1) * 1000 + page_id % 1000 end as integer) as total "
+    "from pages", **_MARKED))
+def q_marked_result_count(spark, sf):
+    return _marked(spark, sf).select("page_id", pages.result_count().alias("total"))

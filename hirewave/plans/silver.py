@@ -50,8 +50,10 @@ def silver_unexploded(postings: DataFrame, companies: DataFrame, skills_mode: st
 
 def silver_exploded(unexploded: DataFrame) -> DataFrame:
     """One skill per row, ``hard_skills_array`` kept, contiguous id per date."""
-    exploded = skills.explode_skills(unexploded)
-    return ids.sequence_ids(exploded, P, ["extract_date", "job_url", "skill_pos", "company_name"])
+    # the last key tells rows of one url apart, so the order is total
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in unexploded.columns])
+    return ids.sequence_ids(unexploded.withColumn("_tie", tie), P, ["extract_date", "job_url", "company_name", "_tie"],
+                            expand=lambda d: skills.explode_skills(d.drop("_tie")))
 
 
 @dataclass

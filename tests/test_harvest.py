@@ -4,7 +4,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from hirewave.operators import harvest
+from hirewave.operators import harvest, pages
 
 PAGE = ('<html><body><h2> Data Engineer &amp; Lead </h2>'
         '<span data-testid="viewJobCompanyName">Acme</span>'
@@ -134,3 +134,25 @@ def test_list_items_pass_over_link_tags_and_counts_take_any_blank(spark):
     assert [r.href for r in harvest.list_items(page).collect()] == ["/j1", "/j2"]
     labels = spark.createDataFrame([("\n   1,234 new",), ("5\tnew",), ("none",), (None,)], "label string")
     assert [r.n for r in labels.select(harvest.result_count(F.col("label")).alias("n")).collect()] == [1234, 5, 0, 0]
+
+
+def test_parser_follows_markup_the_patterns_cannot(spark):
+    html = ('<link href="/i"><ul id="job-list"><li class="a css-0"><div data-jobkey="k1"><a href=\'/j?a=1&amp;b=2\'>x</a></div></li>'
+            '<li class="css-0"><p>no key</p></li></ul><a aria-label="page 2" href="?p=2&amp;q" class="chakra-link css-1wxsdwr">2</a>'
+            '<span class="z results-context-header__new-jobs">\n  1,234 new</span>'
+            '<div data-testid="viewJobBodyJobFullDescriptionContent"><div>a &lt; b</div><script>no</script>c</div>')
+    df = spark.createDataFrame([(1, "u", html), (2, "u", ""), (3, "u", None)], "page_id int, url string, html string")
+    parsed = pages.parse_pages(df).cache()
+    items = pages.list_items(parsed)
+    assert [(r.listed, r.job_key, r.href) for r in items.collect()] == [(True, "k1", "/j?a=1&b=2"), (True, None, "")]
+    assert [r.job_link for r in pages.detail_links(items).collect()] == ["u&job=k1"]
+    got = parsed.select("page_id", pages.next_link(F.lit(1)).alias("next"), pages.result_count().alias("n"),
+                        "found.job_description", "found.job_qualification").orderBy("page_id").collect()
+    assert [tuple(r) for r in got] == [(1, "?p=2&q", 1234, ["a < b", "c"], []), (2, None, 0, [], []), (3, None, 0, [], [])]
+
+
+def test_fixed_schemas_without_rows(spark):
+    empty = harvest.fixed_schema(spark.createDataFrame([], harvest.LINK_SCHEMA), harvest.LINK_SCHEMA)
+    assert empty.columns == ["extract_date", "department", "main_title", "job_title", "url"] and empty.count() == 0
+    board = spark.createDataFrame([], harvest.BOARD_B_SCHEMA)
+    assert dict(harvest.fixed_schema(board, harvest.BOARD_B_SCHEMA).dtypes)["job_qualification"] == "array<string>"

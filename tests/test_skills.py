@@ -121,3 +121,35 @@ def test_same_name_different_types_fallback(spark, tmp_dir):
     got = {r["job_url"]: (r["hard_skills"], r["ORG"]) for r in rows.collect()}
     assert got == {"u1": (["x", "y"], None), "u2": (["p", "q", "p"], None), "u3": (["m", "n"], "[o]")}
     assert skills.parse_skills(rows, mode=mode).collect() == rows.collect()
+
+
+def test_files_of_one_date_keep_their_own_spelling_and_type(spark, tmp_dir):
+    import os
+
+    import pytest
+
+    from hirewave.sinks import writers
+    from hirewave.sources import raw as raw_reads
+    root, date = os.path.join(tmp_dir, "raw"), ("2024", "01", "03")
+    tail = "year string, month string, day string"
+    for rows, kind in (([("u1", "['x', 'y']", *date)], "job_url string, hard_skills string, "),
+                       ([("u2", "['p', 'q']", *date)], "job_url string, `HARD SKILLS` string, "),
+                       ([("u3", ["m", "n"], *date)], "job_url string, hard_skills array<string>, ")):
+        writers.write_partitioned(spark.createDataFrame(rows, kind + tail), root, mode="append")
+    dates = spark.createDataFrame([date], tail)
+    rows, mode = raw_reads.read_dates(spark, root, dates)
+    assert mode == "parsed"
+    assert {r["job_url"]: r["hard_skills"] for r in rows.collect()} == {"u1": ["x", "y"], "u2": ["p", "q"], "u3": ["m", "n"]}
+    with pytest.raises(ValueError, match="row"):
+        raw_reads.read_dates(spark, root, dates, "sniff")
+
+
+def test_ids_expanded_after_the_shuffle_equal_row_number(spark):
+    rows = [(f"u{i % 50}", [f"s{k}" for k in range(i % 4)], "2024", "01", "03" if i % 3 else "04") for i in range(200)]
+    df = spark.createDataFrame(rows, "job_url string, hard_skills array<string>, year string, month string, day string")
+    df = df.dropDuplicates(["job_url", "day"])
+    got = ids.sequence_ids(df, ["year", "month", "day"], ["job_url"], num_partitions=5, expand=skills.explode_skills)
+    want = skills.explode_skills(df).withColumn("want", F.row_number().over(
+        Window.partitionBy("year", "month", "day").orderBy("job_url", "skill_pos")))
+    both = got.join(want, ["year", "month", "day", "job_url", "skill_pos"])
+    assert both.count() == want.count() > 0 and both.where("id <> want").count() == 0
