@@ -17,6 +17,7 @@ WINDOW = 13
 MINIMISER = 2
 CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 6 << 20
+TASK_BYTES = 128 << 20
 HOT_RUNS = 1000
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -293,7 +294,7 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                        F.hash(F.col(text_col)).alias("tag"),
                        F.col(text_col).cast("string").cast("binary").alias("text")).where("id is not null and text is not null")
     size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * size // TASK_BYTES)  # what is packed is up to 3 x the texts
     buckets = max(4 * parts, 3 * size // BUCKET_BYTES)
     hot = np.array(_hot_minimisers(rows, size // 36, window, minimiser, buckets), dtype=np.int64).view(_U)
 
