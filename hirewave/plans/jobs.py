@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from hirewave.functions import rules
 from hirewave.plans import silver
 from hirewave.sinks import writers
-from hirewave.sources import partitions
+from hirewave.sources import catalog, partitions
 from hirewave.sources import raw as raw_reads
 
 P = rules.PARTITION_COLUMNS
@@ -59,3 +59,21 @@ def sync_silver(spark: SparkSession, raw_root: str, companies_root: str, silver_
     finally:
         unexploded.unpersist()
     return todo
+
+
+def sync_all(spark: SparkSession, database: str, companies_root: str, out_root: str,
+             skills_mode: str = "row") -> dict[str, DataFrame]:
+    """``sync_silver`` for every table registered in the raw ``database`` -> dates written by table name.
+
+    Each table has its own remaining dates and its own outputs under
+    ``out_root/<table>/``.  The loop is over the catalog's tables; each turn is
+    one job over all of a table's dates.  A database that does not exist raises.
+    """
+    if not catalog.database_exists(spark, database):
+        raise ValueError(f"no database {database!r}")
+    done = {}
+    for name in catalog.list_tables(spark, database):
+        raw_root, base = catalog.table_location(spark, f"{database}.{name}"), f"{out_root.rstrip('/')}/{name}"
+        done[name] = sync_silver(spark, raw_root, companies_root, f"{base}/unexploded", f"{base}/exploded",
+                                 f"{base}/validation", skills_mode)
+    return done

@@ -41,6 +41,12 @@ def list_tables(spark: SparkSession, database: str = "default") -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    """The folder of a registered table."""
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {_q(table)}")
+    return about.where("col_name = 'Location'").first()["data_type"]
+
+
 def database_exists(spark: SparkSession, database: str) -> bool:
     return spark.catalog.databaseExists(database)
 

@@ -8,7 +8,7 @@ import pytest
 from hirewave import fixtures
 from hirewave.plans import jobs, silver
 from hirewave.sinks import writers
-from hirewave.sources import partitions
+from hirewave.sources import catalog, partitions
 
 SF = "/root/testdata/sf0.001"
 
@@ -51,3 +51,28 @@ def test_sync_touches_only_new_date(spark, tmp_dir):
     touched = [tuple(r) for r in jobs.sync_silver(spark, raw, cpath, out, exp, val).collect()]
     assert touched == [third]
     assert partitions.read_partitioned(spark, val).count() == 3
+
+
+@pytest.mark.slow
+def test_sync_all_tables_of_a_database(spark, tmp_dir):
+    p = fixtures.postings(spark, SF)
+    comp = fixtures.companies(spark, SF).selectExpr("*", "'2024' as year", "'01' as month", "'03' as day")
+    cpath, out = os.path.join(tmp_dir, "companies"), os.path.join(tmp_dir, "out")
+    writers.write_partitioned(comp, cpath)
+    dates = [tuple(r) for r in p.select("year", "month", "day").distinct().orderBy("year", "month", "day").limit(3).collect()]
+    wanted = {"board_a": dates[:2], "board_b": dates[2:]}
+    try:
+        for name, some in wanted.items():
+            root = os.path.join(tmp_dir, name)
+            writers.write_partitioned(p.where(partitions.dates_filter(some)), root)
+            catalog.register_table(spark, name, root, database="raw_boards")
+        done = jobs.sync_all(spark, "raw_boards", cpath, out)
+        assert {k: sorted(map(tuple, d.collect())) for k, d in done.items()} == wanted
+        for name, some in wanted.items():
+            got = partitions.read_partitioned(spark, f"{out}/{name}/unexploded")
+            want = silver.silver_unexploded(p.where(partitions.dates_filter(some)), fixtures.companies(spark, SF))
+            assert got.count() == want.count() > 0
+        with pytest.raises(ValueError, match="no_such"):
+            jobs.sync_all(spark, "no_such", cpath, out)
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS raw_boards CASCADE")
