@@ -207,6 +207,29 @@ def test_embedding_repeated_ids(spark):
     assert sorted((r.id, r.n_links, r.component) for r in embedding.linked(df).collect()) == [(1, 1, 1), (1, 1, 1), (2, 0, 2)]
 
 
+def test_embedding_finds_pairs_in_a_dense_cone(spark):
+    r = np.random.default_rng(5)
+    n, pairs, d = 8000, 300, 64
+    x = embedding.unit(r.standard_normal((n, d)))
+    axis = embedding.unit(r.standard_normal((1, d)))
+    side = r.standard_normal((n // 3, d))
+    side = embedding.unit(side - (side @ axis.T) * axis)
+    x[:n // 3] = 0.75 ** .5 * axis + 0.25 ** .5 * side
+    x = np.concatenate([x, embedding.plant(x, pairs, 0.9, 6)])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    comp = {k.id: k.component for k in embedding.linked(df).collect()}
+    assert sum(comp[i] != comp[n + i] for i in range(pairs)) <= 0.03 * pairs
+
+
+def test_needed_passes_follow_the_densest_region():
+    hits, density = np.full(80, 8), np.arange(80)
+    even = embedding.needed_passes(hits, density, 16)
+    hits[-10:] = 1
+    assert even < 7 and embedding.needed_passes(hits, density, 16) > 60
+    hits[-10:] = 0
+    assert embedding.needed_passes(hits, density, 16) == float("inf")
+
+
 def test_kept_digest_of_the_query(spark, tmp_path):
     texts = corpus(5, 20)
     frame(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
