@@ -137,22 +137,34 @@ _ORDER = ["pass", "width", "key", "rep"]
 
 
 def _sweep(spread: DataFrame, kind: str, window: int, min_cosine: float, origins: list[np.ndarray]) -> DataFrame:
-    """Links (a, b) over the windows of each range partition of ``spread``, put in order.
-
-    Rows with a negative ``rep`` are planted: they link no others; (rep, pass)
-    tells that one met its origin, or a row that its origin links to.
+    """Links (a, b) over the windows of all of ``spread``, put in order; whole at the borders of partitions.
+
+    Each task also hands out the first and last ``window`` rows of its
+    partition.  These rows, in order, hold every pair that is in one window
+    across borders (a partition of fewer rows is handed out whole), so a second
+    sweep over them finds those pairs.  Rows with a negative ``rep`` are
+    planted: they link no others; (rep, pass) tells that one met its origin, or
+    a row that its origin links to.
     """
     spark = spread.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
+        last, total = None, 0
+
+        def edge(b: pa.RecordBatch) -> pa.RecordBatch:
+            none = pa.nulls(b.num_rows, pa.int64())
+            return pa.RecordBatch.from_arrays([none, none, *b.columns], names=["a", "b", *_ORDER, "v"])
 
         def pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(a), pa.array(b), *(pa.nulls(len(a), f.type) for f in last.schema)], names=["a", "b", *_ORDER, "v"])
 
         for b in batches:
             if not b.num_rows:
                 continue
+            if total < window:
+                yield edge(b.slice(0, window - total))
+            total += b.num_rows
             t = b if last is None else pa.Table.from_batches([last, b]).combine_chunks().to_batches()[0]
             last = t.slice(max(0, t.num_rows - window))
             group = np.stack([t.column("pass").to_numpy(), t.column("width").to_numpy()])
@@ -174,10 +186,15 @@ def _sweep(spread: DataFrame, kind: str, window: int, min_cosine: float, origins
                         near = np.array([origins[-1 - q] @ y[o] >= min_cosine - 1e-6 for q, o in zip(r[probe], other)])
                         met = np.unique(r[probe][near])
                         yield pairs(met, np.full(len(met), p, dtype=np.int64))
+        if last is not None and total > window:
+            yield edge(last.slice(max(0, last.num_rows - (total - window))))
 
+    kinds = f"a long, b long, {_SORTED}{kind}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return materialize(spread.repartitionByRange(parts, *_ORDER).sortWithinPartitions(*_ORDER).mapInArrow(
-        run, "a long, b long"), "vec-links")
+    inner = materialize(spread.repartitionByRange(parts, *_ORDER).sortWithinPartitions(*_ORDER).mapInArrow(run, kinds), "vec-sweep")
+    edges = inner.where("a is null").select(*_ORDER, "v").repartition("pass", "width").sortWithinPartitions(*_ORDER)
+    return materialize(inner.where("a is not null").select("a", "b").unionByName(
+        edges.mapInArrow(run, kinds).where("a is not null").select("a", "b")), "vec-links")
 
 
 def _met(left: np.ndarray, right: np.ndarray, reps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -207,6 +207,39 @@ def test_embedding_repeated_ids(spark):
     assert sorted((r.id, r.n_links, r.component) for r in embedding.linked(df).collect()) == [(1, 1, 1), (1, 1, 1), (2, 0, 2)]
 
 
+def _with_conf(spark, run, **conf):
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        return run()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("passes, parts, batch", [(None, 200, 10000), (1, 200, 10000), (1, 3, 7), (2, 1, 7)])
+def test_embedding_windows_cross_borders(spark, passes, parts, batch):
+    r = np.random.default_rng(3)
+    base = r.standard_normal((12, 16))
+    rows = [(base[i % 12] + 0.2 * r.standard_normal(16)).tolist() for i in range(36)]
+    rows += [(np.ones(5) + 0.2 * r.standard_normal(5)).tolist() for _ in range(12)]
+    df = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+    conf = {"spark.sql.shuffle.partitions": str(parts), "spark.sql.execution.arrow.maxRecordsPerBatch": str(batch)}
+    got = _with_conf(spark, lambda: {x.id: (x.n_links, x.component) for x in embedding.linked(df, passes=passes).collect()}, **conf)
+    deg, comp = plain_links(rows)
+    assert max(deg) > 0 and got == {i: (deg[i], comp[i]) for i in range(len(rows))}
+
+
+def test_embedding_windows_do_not_depend_on_partitions(spark):
+    r = np.random.default_rng(4)
+    rows = r.standard_normal((500, 6))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rows)], "vec_id long, embedding array<double>").repartition(1).localCheckpoint()
+    runs = [_with_conf(spark, lambda: {x.id: (x.n_links, x.component) for x in embedding.linked(df, passes=2, window=8).collect()},
+                       **{"spark.sql.shuffle.partitions": n, "spark.sql.adaptive.coalescePartitions.enabled": "true"}) for n in ("1", "64")]
+    assert runs[0] == runs[1]
+
+
 def test_embedding_finds_pairs_in_a_dense_cone(spark):
     r = np.random.default_rng(5)
     n, pairs, d = 8000, 300, 64
