@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirewave.llm.common import table
+from hirewave.llm.common import materialize, table
 from hirewave.session import ship_package
 
 TRAIN_ROWS = 20_000
@@ -103,16 +103,22 @@ class Model:
 
 
 def co_train(x: np.ndarray, buckets: np.ndarray, y: np.ndarray, pool_x: np.ndarray, pool_buckets: np.ndarray,
-             rounds: int = ROUNDS, confident: float = CONFIDENT) -> Model:
+             rounds: int = ROUNDS, confident: float = CONFIDENT, edges: np.ndarray | None = None,
+             pick: Callable | None = None) -> Model:
     """Fit both views over ``rounds``: each view's confident pool rows teach the other view.
 
     A fifth of the labelled rows is held out to calibrate the combination.  A
     view hands over at most a tenth of the pool a round, in the class shares
     of the labels, and only rows beyond ``confident`` on either side.
+
+    With ``pick`` the pool is a table too large for here: ``pick(model, share,
+    confident)`` gives the rows each view is sure of, out of all, and ``edges``
+    the bins over all rows.
     """
     held = np.arange(len(y)) % 5 == 4
     cuts = np.linspace(0, 1, BINS + 1)[1:-1]
-    edges = np.quantile(np.concatenate([x, pool_x]), cuts, axis=0).T
+    if edges is None:
+        edges = np.quantile(np.concatenate([x, pool_x]), cuts, axis=0).T
     tx, mx = _one_hot(x, edges), _multi_hot(buckets)
     ptx, pmx = _one_hot(pool_x, edges), _multi_hot(pool_buckets)
     taught = {"text": np.full(len(pool_x), -1), "meta": np.full(len(pool_x), -1)}
@@ -122,8 +128,13 @@ def co_train(x: np.ndarray, buckets: np.ndarray, y: np.ndarray, pool_x: np.ndarr
         for view, own, pool in (("text", tx, ptx), ("meta", mx, pmx)):
             got = taught[view] >= 0
             fits[view] = fit_logistic(np.concatenate([own[~held], pool[got]]), np.concatenate([y[~held], taught[view][got]]))
-        if r == rounds or not len(pool_x):
+        if r == rounds or not (len(pool_x) or pick):
             break
+        if pick:
+            px, pb, new = pick(Model(edges, fits["text"], fits["meta"], np.zeros(3)), share, confident)
+            ptx, pmx = np.concatenate([ptx, _one_hot(px, edges)]), np.concatenate([pmx, _multi_hot(pb)])
+            taught = {view: np.concatenate([taught[view], new[view]]) for view in taught}
+            continue
         for view, other, pool in (("text", "meta", ptx), ("meta", "text", pmx)):
             p = _sigmoid(pool @ fits[view])
             for label, rank, part in ((1, -p, share), (0, p, 1 - share)):
@@ -153,39 +164,87 @@ def _featurise(b: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray]:
     return x, m.reshape(b.num_rows, 4)
 
 
+def _matrices(got: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Both views of the rows of a table with list columns x and m."""
+    x, m = (got[c].combine_chunks() for c in ("x", "m"))
+    return (x.flatten().to_numpy(zero_copy_only=False).reshape(got.num_rows, N_TEXT),
+            m.flatten().to_numpy(zero_copy_only=False).reshape(got.num_rows, 4))
+
+
+def _pick_from(pool: DataFrame, most: int) -> Callable:
+    """``pick`` of ``co_train``: every row of ``pool`` (id, x, m) is scored by both views in one job a round.
+
+    Each view hands over the ``most`` rows it is surest of in all, in the class
+    shares of the labels.  Rows already handed over to a view are left out.
+    """
+    given = {"text": {}, "meta": {}}
+    kind = pool.schema["id"].dataType.simpleString()
+
+    def pick(model: Model, share: float, confident: float) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for i in range(0, b.num_rows, 1000):
+                    part = b.slice(i, 1000)
+                    p = [_sigmoid(s) for s in model.views(*_matrices(pa.Table.from_batches([part])))]
+                    sure = (np.maximum(*p) >= confident) | (np.minimum(*p) <= 1 - confident)
+                    t = part.filter(pa.array(sure))
+                    yield pa.RecordBatch.from_arrays([*t.columns, *(pa.array(s[sure]) for s in p)], names=["id", "x", "m", "text", "meta"])
+
+        scored = pool.mapInArrow(run, f"id {kind}, x array<double>, m array<bigint>, text double, meta double")
+        taken = []
+        for view, other in (("text", "meta"), ("meta", "text")):
+            for label, part in ((1, share), (0, 1 - share)):
+                sure = F.col(view) >= confident if label else F.col(view) <= 1 - confident
+                rank = F.col(view).desc() if label else F.col(view)
+                limit = int(np.ceil(most * part))
+                got = scored.where(sure).orderBy(rank, F.xxhash64("id"), "id").limit(limit + len(given[other])).toArrow()
+                rows = [i for i, k in enumerate(got["id"].to_pylist()) if k not in given[other]][:limit]
+                got = got.take(pa.array(rows, pa.int64()))
+                given[other].update(dict.fromkeys(got["id"].to_pylist()))
+                taken.append((*_matrices(got), other, label))
+        return (np.concatenate([t[0] for t in taken]), np.concatenate([t[1] for t in taken]),
+                {view: np.concatenate([np.full(len(t[0]), t[3] if t[2] == view else -1) for t in taken]) for view in given})
+
+    return pick
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           meta: tuple[str, str, str] = ("source", "lang", "n_chars"), label_id: str = "doc_id",
           label_col: str = "quality", train_rows: int = TRAIN_ROWS, pool_rows: int = POOL_ROWS) -> Model | None:
-    """Co-trained model, from at most ``train_rows`` labelled rows and about ``pool_rows`` others.
-
-    Both bounds are on what the fit reads; the rows are picked by id hash.  A
-    document with several labels counts with its lowest; labels without a
-    document, and null labels, are left out.  Rows that repeat an id count
-    once (the one with the smallest features), rows without an id not at all,
-    so the driver gets a row an id at most.  With fewer than two classes there
-    is no model (None).
+    """Co-trained model, from at most ``train_rows`` labelled rows and the surest of all others.
+
+    The labelled rows are picked by id hash.  All other rows are scored every
+    round; the fit reads at most a tenth of ``pool_rows`` from each view a
+    round.  Up to ``pool_rows`` of them are held on the driver; more are
+    scored by Spark jobs, with bin edges from approximate quantiles over all
+    rows.  A document with several labels counts with its lowest; labels
+    without a document, and null labels, are left out.  Rows that repeat an id
+    count once (the one with the smallest features), rows without an id not at
+    all.  With fewer than two classes there is no model (None).
     """
     ship_package(docs.sparkSession)
     marked = (labels.where(f"`{label_col}` is not null and `{label_id}` is not null").groupBy(F.col(label_id).alias("_id"))
               .agg(F.min(F.col(label_col).cast("int")).alias("y")).orderBy(F.xxhash64("_id"), "_id").limit(train_rows))
-    n = docs.count()
     rows = docs.select(*_inputs(docs, id_col, text_col, meta)).where("id is not null")
-    picked = F.pmod(F.xxhash64(F.lit(7), F.col("id")), F.lit(1 << 20)) < int(min(1.0, pool_rows / max(n, 1)) * (1 << 20))
-    known = rows.join(F.broadcast(marked), F.col("id") == F.col("_id"), "left").where(F.col("y").isNotNull() | picked)
+    known = rows.join(F.broadcast(marked), F.col("id") == F.col("_id"), "left")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x, m = _featurise(b, 1)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(x.tolist(), pa.list_(pa.float64())), pa.array(m.tolist(), pa.list_(pa.int64())),
-                 b.column(5)], names=["id", "x", "m", "y"])
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1000):
+                b = batch.slice(i, 1000)
+                x, m = _featurise(b, 1)
+                lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1, dtype=np.int32) * v.shape[1]), pa.array(v.ravel()))
+                         for v in (x, m)]
+                yield pa.RecordBatch.from_arrays([b.column(0), *lists, b.column(5)], names=["id", "x", "m", "y"])
 
     seen = known.select("id", "text", "source", "lang", "chars", "y").mapInArrow(
         features, f"id {dict(docs.dtypes)[id_col]}, x array<double>, m array<bigint>, y int")
-    got = seen.groupBy("id").agg(F.min(F.struct("x", "m", "y")).alias("f")).select("f.*").toArrow()
+    seen = materialize(seen.groupBy("id").agg(F.min(F.struct("x", "m", "y")).alias("f")).select("id", "f.*"), "quality-features")
+    pool = seen.where("y is null").select("id", "x", "m")
+    whole = pool.limit(pool_rows + 1).count() <= pool_rows
+    got = (seen if whole else seen.where("y is not null")).select("x", "m", "y").toArrow()
     y = np.array([-1 if v is None else min(max(v, 0), 1) for v in got["y"].to_pylist()])
-    x = np.array(got["x"].to_pylist(), dtype=np.float64).reshape(len(y), N_TEXT)
-    m = np.array(got["m"].to_pylist(), dtype=np.int64).reshape(len(y), 4)
+    x, m = _matrices(got)
     order = np.lexsort((*m.T, *x.T))  # the same order whatever task came first
     y, x, m = y[order], x[order], m[order]
     order = np.random.default_rng(0).permutation(len(y))
@@ -193,7 +252,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     has = y >= 0
     if len(set(y[has])) < 2 or len(set(y[has][np.arange(has.sum()) % 5 != 4])) < 2:
         return None
-    return co_train(x[has], m[has], y[has], x[~has], m[~has])
+    if whole:
+        return co_train(x[has], m[has], y[has], x[~has], m[~has])
+    cuts = ", ".join(str(c) for c in np.linspace(0, 1, BINS + 1)[1:-1])
+    edges = seen.agg(*[F.expr(f"percentile_approx(x[{j}], array({cuts}), 1000)").alias(f"e{j}") for j in range(N_TEXT)]).first()
+    return co_train(x, m, y, x[:0], m[:0], edges=np.array([list(e) for e in edges]), pick=_pick_from(pool, pool_rows // 10))
 
 
 def scores(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text",

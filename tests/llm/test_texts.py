@@ -163,6 +163,28 @@ def test_repeated_and_missing_ids_do_not_swell_the_fit(spark, monkeypatch):
     assert sizes == [(200, 100)] * 2
 
 
+def test_pseudo_labels_come_from_all_rows(spark, monkeypatch):
+    rows = junk_and_prose(600)
+    docs = spark.createDataFrame([x[:5] for x in rows], DOCS)
+    labels = spark.createDataFrame([(x[0], x[5]) for x in rows[:200]], "doc_id long, quality int")
+    given, real = [], quality.co_train
+
+    def spy(x, m, y, px, pm, edges=None, pick=None):
+        text = np.zeros(quality._one_hot(x, edges).shape[1])
+        text[quality.BINS - 1], text[-1] = 10, -5  # sure of the longest sixteenth, and of all others the other way
+        given.append((edges, pick(quality.Model(edges, text, np.zeros(quality.META_BUCKETS + 1), np.zeros(3)), .5, .98)))
+        return real(x, m, y, px, pm, edges=edges, pick=pick)
+    monkeypatch.setattr(quality, "co_train", spy)
+    model = quality.train(docs, labels, pool_rows=100)
+    edges, (x, m, taught) = given[0]
+    size = np.array([quality.text_features(r[1])[0] for r in rows])
+    assert np.abs(edges[0] - np.quantile(size, np.linspace(0, 1, quality.BINS + 1)[1:-1])).max() < 0.1
+    assert (taught["meta"] == 1).sum() == 5 and (taught["meta"] == 0).sum() == 5 and (taught["text"] >= 0).sum() == 0
+    assert (x[taught["meta"] == 1, 0] > edges[0, -1]).all() and (x[taught["meta"] == 0, 0] <= edges[0, -1]).all()
+    got = {r.doc_id: r.keep for r in quality.scores(docs, model).select("d.doc_id", "keep").collect()}
+    assert sum(got[x[0]] == bool(x[5]) for x in rows[200:]) / 400 > 0.97
+
+
 def test_views_teach_each_other():
     r = np.random.default_rng(1)
     y = (r.random(300) < .5).astype(int)
