@@ -21,11 +21,12 @@ ROUNDS = 3
 CONFIDENT = 0.98
 THRESHOLD = 0.5
 BINS = 16
+WORD_BUCKETS = 256
 _MARKS = b"!#$%&*|.,;:?-_=/\"'()"
 
 
 def text_features(text: str | None) -> list[float]:
-    """Shape of a whole text: lengths, repetition, letter and mark shares."""
+    """Shape of a whole text (lengths, repetition, letter and mark shares), then its hashed word counts."""
     raw = (text or "").encode("utf-8", "replace")
     words, lines = raw.split(), [x for x in raw.split(b"\n") if x.strip()]
     n, m, k = max(len(raw), 1), max(len(words), 1), max(len(lines), 1)
@@ -38,10 +39,19 @@ def text_features(text: str | None) -> list[float]:
             of[65:91].sum(), of[97:123].sum(), of[48:58].sum(), of[128:].sum(), of[[9, 10, 11, 12, 13, 32]].sum(),
             sum(map(bytes.isupper, words)) / m, sum(map(bytes.istitle, words)) / m, sum(len(w) > 12 for w in words) / m,
             sum(len(w) < 4 for w in words) / m, 1 - sum(c for e, c in ends.items() if e.isalnum() or e >= b"\x80") / m,
-            *(of[c] for c in _MARKS)]
+            *(of[c] for c in _MARKS), *_word_counts(words)]
+
+
+def _word_counts(words: list[bytes]) -> list[int]:
+    """Words in ``WORD_BUCKETS`` buckets by the hash of their small letters, at most 255 in one."""
+    out = [0] * WORD_BUCKETS
+    for w, n in Counter(words).items():
+        out[zlib.crc32(w.lower()) % WORD_BUCKETS] += n
+    return [min(n, 255) for n in out]
 
 
 N_TEXT = len(text_features(""))
+N_SHAPE = N_TEXT - WORD_BUCKETS
 META_BUCKETS = 256
 
 
@@ -52,11 +62,14 @@ def meta_features(source: str | None, lang: str | None, n_chars: int | None) ->
 
 
 def _one_hot(x: np.ndarray, edges: np.ndarray) -> np.ndarray:
-    """Every feature as the bin it falls in."""
-    out = np.zeros((len(x), x.shape[1] * (edges.shape[1] + 1) + 1), dtype=np.float32)
+    """Every shape feature as the bin it falls in, the word counts' roots at length 1, and a constant."""
+    wide = len(edges) * (edges.shape[1] + 1)
+    out = np.zeros((len(x), wide + x.shape[1] - len(edges) + 1), dtype=np.float32)
     out[:, -1] = 1
-    for j in range(x.shape[1]):
+    for j in range(len(edges)):
         out[np.arange(len(x)), j * (edges.shape[1] + 1) + np.searchsorted(edges[j], x[:, j])] = 1
+    words = np.sqrt(np.maximum(x[:, len(edges):], 0))
+    out[:, wide:-1] = words / np.maximum(np.sqrt((words * words).sum(axis=1, keepdims=True)), 1e-9)
     return out
 
 
@@ -118,7 +131,7 @@ def co_train(x: np.ndarray, buckets: np.ndarray, y: np.ndarray, pool_x: np.ndarr
     held = np.arange(len(y)) % 5 == 4
     cuts = np.linspace(0, 1, BINS + 1)[1:-1]
     if edges is None:
-        edges = np.quantile(np.concatenate([x, pool_x]), cuts, axis=0).T
+        edges = np.quantile(np.concatenate([x, pool_x])[:, :N_SHAPE], cuts, axis=0).T
     tx, mx = _one_hot(x, edges), _multi_hot(buckets)
     ptx, pmx = _one_hot(pool_x, edges), _multi_hot(pool_buckets)
     taught = {"text": np.full(len(pool_x), -1), "meta": np.full(len(pool_x), -1)}
@@ -165,14 +178,15 @@ def _featurise(b: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _matrices(got: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Both views of the rows of a table with list columns x and m."""
-    x, m = (got[c].combine_chunks() for c in ("x", "m"))
-    return (x.flatten().to_numpy(zero_copy_only=False).reshape(got.num_rows, N_TEXT),
-            m.flatten().to_numpy(zero_copy_only=False).reshape(got.num_rows, 4))
+    """Both views of the rows of a table with shapes x, word counts w (a byte each) and buckets m."""
+    x, m = (got[c].combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("x", "m"))
+    w = np.frombuffer(b"".join(got["w"].to_pylist()), dtype=np.uint8)
+    return (np.concatenate([x.reshape(got.num_rows, N_SHAPE), w.reshape(got.num_rows, WORD_BUCKETS)], axis=1),
+            m.reshape(got.num_rows, 4))
 
 
 def _pick_from(pool: DataFrame, most: int) -> Callable:
-    """``pick`` of ``co_train``: every row of ``pool`` (id, x, m) is scored by both views in one job a round.
+    """``pick`` of ``co_train``: every row of ``pool`` (id, x, w, m) is scored by both views in one job a round.
 
     Each view hands over the ``most`` rows it is surest of in all, in the class
     shares of the labels.  Rows already handed over to a view are left out.
@@ -188,9 +202,9 @@ def _pick_from(pool: DataFrame, most: int) -> Callable:
                     p = [_sigmoid(s) for s in model.views(*_matrices(pa.Table.from_batches([part])))]
                     sure = (np.maximum(*p) >= confident) | (np.minimum(*p) <= 1 - confident)
                     t = part.filter(pa.array(sure))
-                    yield pa.RecordBatch.from_arrays([*t.columns, *(pa.array(s[sure]) for s in p)], names=["id", "x", "m", "text", "meta"])
+                    yield pa.RecordBatch.from_arrays([*t.columns, *(pa.array(s[sure]) for s in p)], names=["id", "x", "w", "m", "text", "meta"])
 
-        scored = pool.mapInArrow(run, f"id {kind}, x array<double>, m array<bigint>, text double, meta double")
+        scored = pool.mapInArrow(run, f"id {kind}, x array<double>, w binary, m array<bigint>, text double, meta double")
         taken = []
         for view, other in (("text", "meta"), ("meta", "text")):
             for label, part in ((1, share), (0, 1 - share)):
@@ -234,15 +248,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 b = batch.slice(i, 1000)
                 x, m = _featurise(b, 1)
                 lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1, dtype=np.int32) * v.shape[1]), pa.array(v.ravel()))
-                         for v in (x, m)]
-                yield pa.RecordBatch.from_arrays([b.column(0), *lists, b.column(5)], names=["id", "x", "m", "y"])
+                         for v in (x[:, :N_SHAPE], m)]
+                words = pa.array([v.tobytes() for v in x[:, N_SHAPE:].astype(np.uint8)], pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column(0), lists[0], words, lists[1], b.column(5)], names=["id", "x", "w", "m", "y"])
 
     seen = known.select("id", "text", "source", "lang", "chars", "y").mapInArrow(
-        features, f"id {dict(docs.dtypes)[id_col]}, x array<double>, m array<bigint>, y int")
-    seen = materialize(seen.groupBy("id").agg(F.min(F.struct("x", "m", "y")).alias("f")).select("id", "f.*"), "quality-features")
-    pool = seen.where("y is null").select("id", "x", "m")
+        features, f"id {dict(docs.dtypes)[id_col]}, x array<double>, w binary, m array<bigint>, y int")
+    seen = materialize(seen.groupBy("id").agg(F.min(F.struct("x", "w", "m", "y")).alias("f")).select("id", "f.*"), "quality-features")
+    pool = seen.where("y is null").select("id", "x", "w", "m")
     whole = pool.limit(pool_rows + 1).count() <= pool_rows
-    got = (seen if whole else seen.where("y is not null")).select("x", "m", "y").toArrow()
+    got = (seen if whole else seen.where("y is not null")).select("x", "w", "m", "y").toArrow()
     y = np.array([-1 if v is None else min(max(v, 0), 1) for v in got["y"].to_pylist()])
     x, m = _matrices(got)
     order = np.lexsort((*m.T, *x.T))  # the same order whatever task came first
@@ -255,7 +270,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if whole:
         return co_train(x[has], m[has], y[has], x[~has], m[~has])
     cuts = ", ".join(str(c) for c in np.linspace(0, 1, BINS + 1)[1:-1])
-    edges = seen.agg(*[F.expr(f"percentile_approx(x[{j}], array({cuts}), 1000)").alias(f"e{j}") for j in range(N_TEXT)]).first()
+    edges = seen.agg(*[F.expr(f"percentile_approx(x[{j}], array({cuts}), 1000)").alias(f"e{j}") for j in range(N_SHAPE)]).first()
     return co_train(x, m, y, x[:0], m[:0], edges=np.array([list(e) for e in edges]), pick=_pick_from(pool, pool_rows // 10))
 
 

@@ -185,6 +185,19 @@ def test_pseudo_labels_come_from_all_rows(spark, monkeypatch):
     assert sum(got[x[0]] == bool(x[5]) for x in rows[200:]) / 400 > 0.97
 
 
+def test_classifier_reads_the_words(spark):
+    r = random.Random(10)
+    good, bad = ([f"{c}{a}{b}" for a in "aeiou" for b in ("ld", "rn", "st", "mp")] for c in "kv")
+    rows = []
+    for i in range(500):
+        w = [r.choice((good, bad)[i % 2]) for _ in range(40)]
+        rows.append((i, " ".join(w).capitalize() + ".", "en", "s", 160, 1 - i % 2))
+    docs = spark.createDataFrame([x[:5] for x in rows], DOCS)
+    labels = spark.createDataFrame([(x[0], x[5]) for x in rows[:300]], "doc_id long, quality int")
+    got = {x.doc_id: x.keep for x in quality.scores(docs, quality.train(docs, labels)).select("d.doc_id", "keep").collect()}
+    assert sum(got[x[0]] == bool(x[5]) for x in rows[300:]) / 200 > 0.95
+
+
 def test_views_teach_each_other():
     r = np.random.default_rng(1)
     y = (r.random(300) < .5).astype(int)
