@@ -11,7 +11,7 @@ import struct
 import uuid
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +23,7 @@ from hirewave.session import scratch_path, ship_package
 REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 16 << 20
 RANGE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 ARCHIVE_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.jsonl"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -81,12 +82,12 @@ def parse_record(raw: bytes) -> dict:
 
 # ZIP directories
 
-def zip_members(read, size: int) -> dict[str, tuple[int, int]]:
-    """name -> (offset, length) of the stored members; ``read(at, n)`` is a range read.
+def zip_members(read, size: int, wanted: Callable[[str], bool] = lambda name: True) -> dict[str, tuple[int, int]]:
+    """name -> (offset, length) of the ``wanted`` stored members; ``read(at, n)`` is a range read.
 
     Reads the end record, the ZIP64 end record where there is one, the central
-    directory with its ZIP64 fields, and each member's local header.  A member
-    that is compressed by ZIP itself can't be range-read and raises.
+    directory with its ZIP64 fields, and each wanted member's local header.  A
+    wanted member that is compressed by ZIP itself can't be range-read and raises.
     """
     at = max(0, size - 66_000)
     tail = read(at, size - at)
@@ -118,7 +119,7 @@ def zip_members(read, size: int) -> dict[str, tuple[int, int]]:
                 packed = wide.pop(0) if packed == 0xFFFFFFFF else packed
                 local = wide.pop(0) if local == 0xFFFFFFFF else local
             j += 4 + m
-        if name.endswith("/"):
+        if name.endswith("/") or not wanted(name):
             continue
         if method:
             raise ValueError(f"{name} is compressed, not stored")
@@ -129,6 +130,81 @@ def zip_members(read, size: int) -> dict[str, tuple[int, int]]:
     return found
 
 
+# records of a member
+
+def split_records(raw: bytes) -> Iterator[bytes]:
+    """The records of plain WARC text."""
+    at = 0
+    while at < len(raw):
+        head = raw.find(b"\r\n\r\n", at)
+        if head < 0 or raw[at:at + 5] != b"WARC/":
+            raise ValueError("not a WARC record")
+        end = head + 4 + int(_fields(raw[at:head])["content-length"])
+        yield raw[at:end]
+        at = end + 4 if raw[end:end + 4] == b"\r\n\r\n" else end
+
+
+def scan_records(read, length: int, piece: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
+    """(offset, length) of the gzip members or plain records of a member, read in pieces."""
+    if read(0, min(2, length)) == b"\x1f\x8b":
+        at, start, gz, rest = 0, 0, zlib.decompressobj(31), b""
+        while start < length:
+            if not rest and at < length:
+                rest = read(at, min(piece, length - at))
+                at += len(rest)
+            out = gz.decompress(rest, piece)
+            if gz.eof:
+                end = at - len(gz.unused_data)
+                yield start, end - start
+                start, rest, gz = end, gz.unused_data, zlib.decompressobj(31)
+            elif not out and not gz.unconsumed_tail and at >= length:
+                raise ValueError("a gzip record ends early")
+            else:
+                rest = gz.unconsumed_tail
+        return
+    at = 0
+    while at < length:
+        raw = b""
+        while (head := raw.find(b"\r\n\r\n")) < 0:
+            more = read(at + len(raw), min(4096, length - at - len(raw)))
+            if not more or not (raw + more).startswith(b"WARC/"):
+                raise ValueError("not a WARC record")
+            raw += more
+        end = at + head + 4 + int(_fields(raw[:head])["content-length"])
+        if end > length:
+            raise ValueError("a record ends early")
+        end += 4 * (read(end, min(4, length - end)) == b"\r\n\r\n")
+        yield at, end - at
+        at = end
+
+
+def index_spans(raw: bytes) -> list[tuple[str | None, int, int]]:
+    """(file name, offset, length) of the lines of an index: JSON, alone or after CDXJ keys, perhaps gzipped.
+
+    An index that is something else gives nothing.
+    """
+    try:
+        raw = gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
+        found = [json.loads(line[line.index(b"{"):]) for line in raw.splitlines() if line.strip() and not line.startswith(b"!")]
+        return [(x.get("filename"), int(x["offset"]), int(x["length"])) for x in found]
+    except (ValueError, KeyError, TypeError, EOFError, OSError, zlib.error):
+        return []
+
+
+def spans_of(member: str, archives: int, length: int, lines: list[tuple[str | None, int, int]]) -> list[tuple[int, int]] | None:
+    """Places of a member's records by the index lines that name it, or None where these don't cover it.
+
+    Lines without a file name belong to the only archive of a package.
+    """
+    names = (None,) * (archives == 1) + (member, member.rpartition("/")[2])
+    spans, at = sorted({(o, n) for name, o, n in lines if name in names}), 0
+    for o, n in spans:
+        if o != at or n <= 0:
+            return None
+        at += n
+    return spans if at == length else None
+
+
 # jobs
 
 def with_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
@@ -200,8 +276,10 @@ def read_archives(archives: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFr
 
     The directories and indexes are read first; the ranges (neighbouring
     records of up to ``range_bytes``) are dealt out anew and read by as many
-    tasks.  A package without an index is read member by member as one range.
-    Null paths are skipped.
+    tasks.  Members under archive/ hold gzipped or plain records; one that no
+    index covers from end to end is scanned in pieces for its records first.
+    Other members are not read, so they may be compressed.  Null paths are
+    skipped.
     """
     spark = archives.sparkSession
     ship_package(spark)
@@ -213,22 +291,25 @@ def read_archives(archives: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFr
                     continue
                 fs, name = _fs(path)
                 with fs.open_input_file(name) as f:
-                    members = zip_members(lambda at, n, f=f: f.read_at(n, at), f.size())
+                    get = lambda at, n, f=f: f.read_at(n, at)
+                    members = zip_members(get, f.size(), lambda m: m.startswith("archive/"))
+                    try:
+                        index = zip_members(get, f.size(), lambda m: m.startswith("indexes/"))
+                    except ValueError:  # compressed: members are scanned
+                        index = {}
+                    lines = [x for at, n in index.values() for x in index_spans(get(at, n))]
                     ranges = []
-                    index = [m for m in members if m.startswith("indexes/")]
                     for m, (start, length) in members.items():
-                        if not m.startswith("archive/"):
-                            continue
-                        if not index:
-                            ranges.append((start, length))
-                            continue
-                        at, n = members[index[0]]
-                        for line in f.read_at(n, at).splitlines():
-                            x = json.loads(line)
-                            if ranges and ranges[-1][0] + ranges[-1][1] == start + x["offset"] and ranges[-1][1] < range_bytes:
-                                ranges[-1] = (ranges[-1][0], ranges[-1][1] + x["length"])
+                        spans = spans_of(m, len(members), length, lines)
+                        if spans is None:
+                            spans = scan_records(lambda at, n, start=start: get(start + at, n), length)
+                        fresh = True  # a range holds records of one member
+                        for o, n in spans:
+                            if not fresh and ranges[-1][1] < range_bytes:
+                                ranges[-1] = (ranges[-1][0], ranges[-1][1] + n)
                             else:
-                                ranges.append((start + x["offset"], x["length"]))
+                                ranges.append((start + o, n))
+                            fresh = False
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([path] * len(ranges), pa.string()), pa.array([r[0] for r in ranges], pa.int64()),
                      pa.array([r[1] for r in ranges], pa.int64())], names=["path", "start", "length"])
@@ -244,9 +325,11 @@ def read_archives(archives: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFr
                 with fs.open_input_file(name) as f:
                     data = f.read_at(length, start)
                 rows = []
+                if data[:2] != b"\x1f\x8b":
+                    rows, data = [parse_record(x) for x in split_records(data)], b""
                 while data:
                     gz = zlib.decompressobj(31)
-                    rows.append(parse_record(gz.decompress(data) + gz.flush()))
+                    rows += [parse_record(x) for x in split_records(gz.decompress(data) + gz.flush())]
                     data = gz.unused_data
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 

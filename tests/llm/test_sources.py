@@ -1,7 +1,9 @@
 """WARC packages, source mixing, URL filters and the pipeline."""
 
+import gzip
 import hashlib
 import io
+import json
 import random
 import zipfile
 from fractions import Fraction
@@ -41,6 +43,55 @@ def test_warc_round_trip(spark, tmp_path, monkeypatch):
     assert warc_zip.read_archives(warc_zip.write_archives(records.limit(0), f"file://{tmp_path}/e")).count() == 0
 
 
+def _package(path, members, deflated=()):
+    with zipfile.ZipFile(path, "w") as z:
+        for name, data in members:
+            z.writestr(name, data, zipfile.ZIP_DEFLATED if name in deflated else zipfile.ZIP_STORED)
+
+
+def test_warc_packages_made_elsewhere(spark, tmp_path):
+    def records(lo, hi):
+        return [warc_zip.warc_record(i, f"u{i}", b"x" * (i * 37), i * 37, hashlib.sha1(b"x" * (i * 37)).hexdigest(), None) for i in range(lo, hi)]
+
+    def lines(parts, name, key=""):
+        at, out = 0, ""
+        for x in parts:
+            out += key + json.dumps({**({"filename": name} if name else {}), "offset": str(at), "length": len(x)}) + "\n"
+            at += len(x)
+        return out
+    a, b, plain = ([gzip.compress(x) for x in records(0, 20)], [gzip.compress(x) for x in records(20, 30)], records(30, 40))
+    first, second = ("archive/a.warc.gz", b"".join(a)), ("archive/b.warc.gz", b"".join(b))
+    cases = [
+        (30, [first, second, ("indexes/i.jsonl", lines(a, None))], ()),  # an index that can't tell the two apart
+        (30, [first, second, ("indexes/i.cdx.gz", gzip.compress((lines(a, "a.warc.gz", "com,u)/ 1970 ") + lines(b, "b.warc.gz", "com,u)/ 1970 ")).encode()))], ()),
+        (20, [first, ("indexes/i.jsonl", lines(a[:3], "a.warc.gz"))], ()),  # covers a part only
+        (20, [first, ("indexes/i.jsonl", "no index"), ("pages/p.jsonl", "{}" * 99)], ("pages/p.jsonl",)),
+        (20, [first, ("indexes/i.jsonl", lines(a, None))], ("indexes/i.jsonl",)),
+        (30, [first, second], ()),
+        (40, [first, second, ("archive/c.warc", b"".join(plain)), ("indexes/i.jsonl", lines(plain, "c.warc"))], ()),
+        (20, [("archive/a.warc.gz", gzip.compress(b"".join(records(0, 20))))], ()),  # one gzip member around all
+        (0, [("archive/a.warc.gz", b"")], ()),
+    ]
+    for i, (n, members, deflated) in enumerate(cases):
+        _package(tmp_path / f"{i}.wacz", members, deflated)
+        for size in (1, 1 << 20):
+            got = warc_zip.read_archives(spark.createDataFrame([(f"file://{tmp_path}/{i}.wacz",)], "path string"), size).collect()
+            assert sorted((r.page_id, r.payload_bytes) for r in got) == [(k, k * 37) for k in range(n)]
+    _package(tmp_path / "x.wacz", [first], (first[0],))
+    with pytest.raises(Exception, match="compressed, not stored"):
+        warc_zip.read_archives(spark.createDataFrame([(f"file://{tmp_path}/x.wacz",)], "path string")).collect()
+
+
+@pytest.mark.parametrize("piece", [1, 7, 1 << 20])
+def test_scan_records_in_pieces(piece):
+    parts = [gzip.compress(b"a" * n) for n in (0, 1, 100000)]
+    raw = b"".join(parts)
+    ends = [sum(map(len, parts[:i + 1])) for i in range(3)]
+    assert [o + n for o, n in warc_zip.scan_records(lambda at, n: raw[at:at + n], len(raw), piece)] == ends
+    with pytest.raises(ValueError):
+        list(warc_zip.scan_records(lambda at, n: raw[at:at + n], len(raw) - 3, piece))
+
+
 @pytest.mark.parametrize("wide", [False, True])
 def test_zip_directories(monkeypatch, wide):
     if wide:
