@@ -5,14 +5,18 @@ import hashlib
 import io
 import json
 import random
+import struct
 import zipfile
 from fractions import Fraction
 
+import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hirewave.llm import mixing, urls, warc_zip
+from hirewave.llm import mixing, sentencepiece_bpe, urls, warc_zip
+from tests.llm.test_dedup import closure, plain_cut, plain_fingerprint
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -222,3 +226,80 @@ def test_pipeline_stages_in_order(spark):
     assert last.columns == ["doc_id", "n_tokens", "ids", "decoded"] and last.count() > 0
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, spark.read.parquet(f"{sf}/documents.parquet").limit(0), sf).count() == 0
+
+
+def spark_hash(seed, *longs):
+    h = xxhash.xxh64_intdigest(struct.pack("<i", seed), seed=42)
+    for x in longs:
+        h = xxhash.xxh64_intdigest(struct.pack("<q", x), seed=h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def seats(shares, n):
+    """Sainte-Lague by one seat after the other, ties by the smaller key."""
+    got = dict.fromkeys(shares, 0)
+    for _ in range(n):
+        got[min(got, key=lambda k: (-Fraction(shares[k]) / (2 * got[k] + 1), k))] += 1
+    return got
+
+
+def plain_mixed(docs):
+    """(id, text) of the mix of (id, text, source) rows, by whole lines of words."""
+    sizes = {}
+    for _, t, s in docs:
+        sizes[s] = sizes.get(s, 0) + len(t.split())
+    target = plain_targets(sizes)
+    blocks = seats(target, int(sum(target.values()) / mixing.BLOCK_TOKENS + Fraction(1, 2)))
+    out = []
+    for s, size in sizes.items():
+        n, lines = -(-size // mixing.SHARD_TOKENS) + 1, {}
+        for i, t, _ in (x for x in docs if x[2] == s):
+            key = struct.unpack("<q", struct.pack("<Q", xxhash.xxh64_intdigest(t.encode(), seed=42)))[0]
+            lines.setdefault(spark_hash(42, i, key) % n, []).append((spark_hash(43, i, key), i, t))
+        length = {k: sum(len(x[2].split()) for x in v) for k, v in lines.items()}
+        quota = seats({k: Fraction(blocks[s] * length[k], max(size, 1)) for k in lines}, blocks[s])
+        for k, line in lines.items():
+            left = min(quota[k] * mixing.BLOCK_TOKENS, length[k] * mixing.MAX_REPEATS)
+            while left > 0:
+                for _, i, t in sorted(line):
+                    w = t.split()[:left]
+                    left -= len(w)
+                    if w:
+                        out.append((i, t if len(w) == len(t.split()) else " ".join(w)))
+    return out
+
+
+def test_pipeline_rows_equal_a_plain_chain(spark, tmp_path):
+    import sentencepiece
+
+    r = random.Random(12)
+    vocab = [f"w{i}" for i in range(300)]
+    passage, rows = [r.choice(vocab) for _ in range(25)], []
+    for i in range(240):
+        w = [r.choice(vocab) for _ in range(r.choice([0, 5, 12, 40, 90]))]
+        if r.random() < .3:
+            w[len(w) // 2:len(w) // 2] = passage
+        if i > 20 and r.random() < .2:
+            w = rows[r.randrange(i)][1].split()
+        bad = i % 6 == 0
+        rows.append((i, " ".join(x.upper() + "!!" for x in w) if bad else " ".join(w), "en", "abc"[i % 3], 0, int(not bad)))
+    rows = [(*x[:4], len(x[1]), x[5]) for x in rows]
+    spark.createDataFrame([x[:5] for x in rows], DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(x[0], x[5], 0) for x in rows[:160]], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    keep = {x.doc_id for x in corpus_pipeline.keep_quality(spark, docs, str(tmp_path)).collect()}
+    assert 150 < len(keep) < 240
+    kept = [x for x in rows if x[0] in keep]
+    fps = [plain_fingerprint(x[1]) for x in kept]
+    root = closure(len(kept), [(i, j) for i in range(len(kept)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 2])
+    kept = [x for k, x in enumerate(kept) if root[k] == k]
+    cut = {i: (removed, text) for i, _, removed, text in plain_cut([(x[0], x[1]) for x in kept])}
+    assert any(n for n, _ in cut.values()) and len(kept) < len(keep)
+    mixed = plain_mixed([(x[0], cut[x[0]][1] if cut[x[0]][0] else x[1], x[3]) for x in kept])
+    model = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_bpe.default_model())
+    want = []
+    for i, t in mixed:
+        ids = model.encode(t, add_bos=True, add_eos=True)
+        want.append((i, len(ids), np.array(ids, "<u4").tobytes(), model.decode(ids)))
+    got = [(x.doc_id, x.n_tokens, bytes(x.ids), x.decoded) for x in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(want)
