@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from hirewave.llm import embedding, licenses, mixing, quality, sentencepiece_bpe, simhash, sketch, substring, urls, warc_zip
+from hirewave.llm import (embedding, licenses, mixing, quality, resampling, sentencepiece_bpe, simhash, sketch, substring,
+                          urls, warc_zip)
 
 QUERIES = {
     "op1_simhash_dedup": simhash.query,
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_warc_zip": warc_zip.query,
     "op9_source_mixing": mixing.query,
     "op10_url_filter": urls.query,
+    "op13_importance_resampling": resampling.query,
 }
 
 ORACLES = {"op8_warc_zip": warc_zip.ORACLE, "op10_url_filter": urls.ORACLE}
