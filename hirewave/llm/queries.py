@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from hirewave.llm import (embedding, licenses, mixing, quality, resampling, sentencepiece_bpe, simhash, sketch, substring,
-                          urls, warc_zip)
+from hirewave.llm import (conversations, embedding, licenses, mixing, quality, resampling, sentencepiece_bpe, simhash, sketch,
+                          substring, token_files, urls, warc_zip)
 
 QUERIES = {
     "op1_simhash_dedup": simhash.query,
@@ -16,6 +16,8 @@ QUERIES = {
     "op8_warc_zip": warc_zip.query,
     "op9_source_mixing": mixing.query,
     "op10_url_filter": urls.query,
+    "op11_token_files": token_files.query,
+    "op12_conversation_repair": conversations.query,
     "op13_importance_resampling": resampling.query,
 }
 
