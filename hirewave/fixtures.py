@@ -10,6 +10,7 @@ its oracle start from the same rows.  All work grows with ``orders`` /
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -54,6 +55,9 @@ POSTINGS_ONE_PASS_SQL = POSTINGS_SQL[:POSTINGS_SQL.index("select *, concat('http
     "array(concat('https://jobs.example/', cast(rid as string)), concat('https://jobs.example/dup/', cast(rid as string))) "
     "else array(concat('https://jobs.example/', cast(rid as string))) end) u as job_url")
 
+# the same postings dated by month (day 01): few folders where a query lands tables
+MONTHLY_SQL = f"select * replace ('01' as day) from ({POSTINGS_SQL})"
+
 COMPANIES_SQL = """select c_name as company_name,
  split_part('Oil and Gas|Hospitals and Health Care|Software Development|Banking|Aerospace|robotics|Restaurants|IT Services and IT Consulting', '|', cast(c_custkey % 8 as int) + 1) as company_industry
 from customer where c_custkey % 10 <> 0"""
@@ -106,6 +110,10 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(POSTINGS_ONE_PASS_SQL)
 
 
+def monthly_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return postings(spark, sf_dir).withColumn("day", F.lit("01"))
+
+
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_base_tables(spark, sf_dir, ["customer"])
     return spark.sql(COMPANIES_SQL)
@@ -113,8 +121,6 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def board_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Board B shaped rows: string fields plus two list fields."""
-    from pyspark.sql import functions as F
-
     from hirewave.operators.skills import parse_auto
     postings(spark, sf_dir).createOrReplaceTempView("postings")
     raw = spark.sql(BOARD_B_SQL)

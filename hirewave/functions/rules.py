@@ -234,6 +234,9 @@ SKILL_COLUMN_ALIASES: list[tuple[str, str, str]] = [
     ("HARD SKILLS", "SOFT SKILLS", "first producer"),
     ("HARD_SKILLS#0", "SOFT_SKILLS#1", "second producer"),
 ]
+# columns of a validation row: rows scraped, rows left, companies, companies left
+COUNT_COLUMNS: list[str] = ["initial_scrapped_data_count", "scrapped_data_count_after_removing_managerial_post",
+                            "total_number_of_companies", "number_of_company_after_company_industry_filtered"]
 COMPANY_DROP_COLUMNS: list[str] = ["year", "month", "day", "company_url"]
 PARTITION_COLUMNS: list[str] = ["year", "month", "day"]
 

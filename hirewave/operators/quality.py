@@ -28,27 +28,32 @@ def stamp_date(df: DataFrame) -> DataFrame:
 
 
 # VAL-02 + VAL-03
-def funnel_counts(raw: DataFrame, companies: DataFrame, companies_kept: DataFrame,
-                  final: DataFrame) -> DataFrame:
-    """One validation row per date: scraped rows, companies, kept companies, final rows.
+def funnel_rows(scraped: DataFrame, final: DataFrame, companies: DataFrame, companies_kept: DataFrame) -> DataFrame:
+    """One validation row per date of ``scraped`` (year, month, day, n_rows), out of counts by date.
 
+    ``final`` has the rows that are left, by date; a date without any gets 0.
     The two company counts are the same for every date; they enter as scalar
-    subqueries (computed once, no cross join).  Per-date counts are partial
-    aggregates joined on (year, month, day); dates whose rows were all
-    filtered out still get a row with 0.
+    subqueries (computed once, no cross join).
     """
-    scraped = counts_by_date(raw, "initial_scrapped_data_count")
-    kept = counts_by_date(final, "scrapped_data_count_after_removing_managerial_post")
+    first, last, total, kept = rules.COUNT_COLUMNS
     # both sides hold one row per date (bounded by the calendar)
-    out = (scraped.join(F.broadcast(kept), P, "left")
-           .withColumn("scrapped_data_count_after_removing_managerial_post",
-                       F.coalesce(F.col("scrapped_data_count_after_removing_managerial_post"), F.lit(0).cast("bigint")))
-           .withColumn("total_number_of_companies", companies.select(F.count(F.lit(1))).scalar())
-           .withColumn("number_of_company_after_company_industry_filtered",
-                       companies_kept.select(F.count(F.lit(1))).scalar()))
+    out = (scraped.withColumnRenamed("n_rows", first).join(F.broadcast(final.withColumnRenamed("n_rows", last)), P, "left")
+           .withColumns({c: F.coalesce(F.col(c), F.lit(0).cast("bigint")) for c in (first, last)})
+           .withColumn(total, companies.select(F.count(F.lit(1))).scalar())
+           .withColumn(kept, companies_kept.select(F.count(F.lit(1))).scalar()))
     return stamp_date(out)
 
 
+def funnel_counts(raw: DataFrame, companies: DataFrame, companies_kept: DataFrame,
+                  final: DataFrame) -> DataFrame:
+    """One validation row per date: scraped rows, companies, kept companies, final rows.
+
+    Per-date counts are partial aggregates joined on (year, month, day); dates
+    whose rows were all filtered out still get a row with 0.
+    """
+    return funnel_rows(counts_by_date(raw, "n_rows"), counts_by_date(final, "n_rows"), companies, companies_kept)
+
+
 # VAL-03 standalone: stamp literal (year, month, day) on a one-row count frame
 def validation_row(counts: DataFrame, year: str, month: str, day: str) -> DataFrame:
     return stamp_date(counts.withColumns({"year": F.lit(year), "month": F.lit(month), "day": F.lit(day)}))

@@ -91,8 +91,8 @@ _ORDER = ["postings", "companies", "trimmed", "deduped", "located", "dated", "ti
           "parsed", "joined", "enriched", "silver"]
 
 
-def with_stages(body: str, *needed: str, extra: dict[str, str] | None = None) -> str:
-    """Emit the CTE chain up to the needed stages, then ``body``."""
+def with_stages(body: str, *needed: str, extra: dict[str, str] | None = None, postings: str | None = None) -> str:
+    """Emit the CTE chain up to the needed stages, then ``body``; ``postings`` replaces the first stage."""
     deps = {
         "trimmed": ["postings"], "deduped": ["trimmed"], "located": ["deduped"], "dated": ["located"],
         "titled": ["dated"], "kept_companies": ["companies"], "parsed": ["titled"],
@@ -110,5 +110,7 @@ def with_stages(body: str, *needed: str, extra: dict[str, str] | None = None) ->
     for n in needed:
         add(n)
     ctes = {n: STAGES[n] for n in _ORDER if n in want}
+    if postings:
+        ctes["postings"] = postings
     ctes.update(extra or {})
     return fixtures.with_ctes(body, **ctes)

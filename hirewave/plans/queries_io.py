@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from hirewave import fixtures
 from hirewave.functions import rules
 from hirewave.operators import clean
+from hirewave.plans import jobs, silver
 from hirewave.plans import oracle as O
-from hirewave.plans import silver
 from hirewave.plans.queries_clean import FUNNEL_SQL, flat
 from hirewave.plans.registry import register
 from hirewave.session import scratch_path
-from hirewave.sinks import writers
-from hirewave.sources import catalog, partitions
+from hirewave.sinks import publish, writers
+from hirewave.sources import catalog, crawl, ledger, listing, partitions
 from hirewave.streaming import incremental
 
 P = rules.PARTITION_COLUMNS
@@ -38,11 +38,6 @@ def landed_raw(spark, sf: str) -> str:
     return _LANDED[key]
 
 
-def _latest_key(df):
-    # one bounded row: the run's (year, month, day)
-    return tuple(partitions.latest_partition(df).first())
-
-
 # ------------------------------------------------------------------ SNK-05 / SRC-03
 @register("raw_landing", O.with_stages("select * from postings", "postings"))
 def q_raw_landing(spark, sf):
@@ -53,15 +48,13 @@ def q_raw_landing(spark, sf):
 @register("scan_partition", O.with_stages(f"select * from postings where {_LATEST}", "postings"))
 def q_scan_partition(spark, sf):
     root = landed_raw(spark, sf)
-    y, m, d = _latest_key(catalog.show_partitions(spark, catalog.register_table(spark, "raw_postings", root)))
-    return partitions.scan_partition(spark, root, y, m, d)
+    return partitions.scan_partition(spark, root, *listing.latest_date(spark, root))
 
 
-# ------------------------------------------------------------------ SRC-04 (catalog, metadata only)
+# ------------------------------------------------------------------ SRC-04 (directory listing: no data file opened)
 @register("list_partitions", O.with_stages("select distinct year, month, day from postings", "postings"))
 def q_list_partitions(spark, sf):
-    table = catalog.register_table(spark, "raw_postings", landed_raw(spark, sf))
-    return catalog.show_partitions(spark, table)
+    return listing.list_dates(spark, landed_raw(spark, sf))
 
 
 @register("list_partitions_scan", O.with_stages("select distinct year, month, day from postings", "postings"))
@@ -73,7 +66,7 @@ def q_list_partitions_scan(spark, sf):
 @register("latest_partition", O.with_stages(
     "select year, month, day from postings order by year desc, month desc, day desc limit 1", "postings"))
 def q_latest(spark, sf):
-    return partitions.latest_partition(partitions.read_partitioned(spark, landed_raw(spark, sf)))
+    return partitions.latest_partition(listing.list_files(spark, landed_raw(spark, sf)))
 
 
 # ------------------------------------------------------------------ SRC-06 / JON-04 / SET-03
@@ -82,41 +75,57 @@ def q_latest(spark, sf):
     extra={"dest": DEST_SQL}))
 def q_remaining(spark, sf):
     fixtures.postings(spark, sf).createOrReplaceTempView("postings")
-    src = catalog.show_partitions(spark, catalog.register_table(spark, "raw_postings", landed_raw(spark, sf)))
-    return partitions.remaining_dates(src, spark.sql(DEST_SQL))
+    return partitions.remaining_dates(listing.list_dates(spark, landed_raw(spark, sf)), spark.sql(DEST_SQL))
 
 
 @register("remaining_dates_none_left", O.with_stages(
     "select year, month, day from (select distinct year, month, day from postings) "
     "order by year desc, month desc, day desc limit 1", "postings"))
 def q_remaining_none(spark, sf):
-    src = partitions.list_partitions(partitions.read_partitioned(spark, landed_raw(spark, sf)))
+    src = listing.list_dates(spark, landed_raw(spark, sf))
     return partitions.remaining_dates(src, src)
 
 
 @register("remaining_dates_no_dest", O.with_stages("select distinct year, month, day from postings", "postings"))
 def q_remaining_no_dest(spark, sf):
-    src = partitions.list_partitions(partitions.read_partitioned(spark, landed_raw(spark, sf)))
+    src = listing.list_dates(spark, landed_raw(spark, sf))
     dest = catalog.table_partitions_or_none(spark, "silver_zone.postings_clean_missing")
     return partitions.remaining_dates(src, dest)
 
 
+# files that land in a date already synced: these rows come after the first sync, the last year is new altogether
+_LATE = "job_url like '%7'"
+
+
+@register("remaining_dates_late_files", O.with_stages(
+    f"select distinct year, month, day from postings where {_LATE} or year = '2001'", "postings", postings=fixtures.MONTHLY_SQL))
+def q_remaining_late(spark, sf):
+    rows = fixtures.monthly_postings(spark, sf)
+    root, book = scratch_path(spark, "raw_late"), scratch_path(spark, "ledger")
+    writers.write_partitioned(rows.where(f"not ({_LATE}) and year <> '2001'"), root)
+    ledger.commit(listing.date_states(listing.list_files(spark, root)), book, "first run")
+    writers.write_partitioned(rows.where(f"{_LATE} or year = '2001'"), root, mode="append")
+    return ledger.due_dates(listing.date_states(listing.list_files(spark, root)), ledger.synced(spark, book))
+
+
 # ------------------------------------------------------------------ SRC-02 / SRC-07
 @register("raw_zone_inventory", O.with_stages(
     f"select distinct 'board_a' as table_name, year, month, day from postings where {_BOARD_A} "
     f"union all select distinct 'board_b' as table_name, year, month, day from postings where not ({_BOARD_A})",
     "postings"))
 def q_raw_zone(spark, sf):
+    """Two landings and two crawls of each board; the second crawl reads new footers only."""
     p = fixtures.postings(spark, sf)
     prefix = scratch_path(spark, "raw_zone")
-    boards = {"board_a": p.where(_BOARD_A), "board_b": p.where(f"not ({_BOARD_A})")}
-    for name in rules.SOURCE_TABLES:
-        writers.write_partitioned(boards[name], f"{prefix}/{name}")
-        catalog.register_table(spark, name, f"{prefix}/{name}", database="raw_zone")
+    boards = dict(zip(rules.SOURCE_TABLES, (p.where(_BOARD_A), p.where(f"not ({_BOARD_A})"))))
+    for some in ("year < '1997'", "year >= '1997'"):
+        for name, rows in boards.items():
+            writers.write_partitioned(rows.where(some), f"{prefix}/{name}")
+            crawl.register(spark, name, f"{prefix}/{name}", f"{prefix}/_{name}_footers", database=f"raw_zone_{prefix[-12:]}")
     out = None
     # per-table dispatch over the (few) catalog tables, sorted
-    for name in catalog.list_tables(spark, "raw_zone"):
-        part = catalog.show_partitions(spark, f"raw_zone.{name}").select(F.lit(name).alias("table_name"), *P)
+    for name in catalog.list_tables(spark, f"raw_zone_{prefix[-12:]}"):
+        part = catalog.show_partitions(spark, f"raw_zone_{prefix[-12:]}.{name}").select(F.lit(name).alias("table_name"), *P)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -161,7 +170,46 @@ def q_silver_roundtrip(spark, sf):
     return flat(spark.table("silver_postings_clean"))
 
 
-# ------------------------------------------------------------------ SNK-02
+# ------------------------------------------------------------------ SNK-01 (publish through the catalog)
+_SILVER = "select * replace (array_to_string(hard_skills, '|') as hard_skills) from silver"
+
+
+@register("silver_republish", O.with_stages(_SILVER, "silver", postings=fixtures.MONTHLY_SQL))
+def q_silver_republish(spark, sf):
+    """An older state of both tables, with a date that has no rows any more, then all dates published anew."""
+    p = fixtures.monthly_postings(spark, sf)
+    base = scratch_path(spark, "published")
+    tables = [f"published_{base[-12:]}.clean", f"published_{base[-12:]}.exploded"]
+    old = p.where("year < '1996'").unionByName(p.where("year = '1996'").withColumn("year", F.lit("1990")))
+    for rows in (old, p):
+        u = silver.silver_unexploded(rows, fixtures.companies(spark, sf))
+        dates = [tuple(r) for r in old.unionByName(p).select(*P).distinct().collect()]  # bounded by the calendar
+        publish.publish(spark, [publish.stage(f, t, f"{base}/{t}") for f, t in zip((u, silver.silver_exploded(u)), tables)], dates)
+    return flat(spark.table(tables[0]))
+
+
+# ------------------------------------------------------------------ SRC-10 (all tables of a raw database)
+@register("silver_all_tables", O.with_stages(
+    f"select *, case when {_BOARD_A} then 'board_a' else 'board_b' end as table_name from ({_SILVER})", "silver", postings=fixtures.MONTHLY_SQL))
+def q_silver_all_tables(spark, sf):
+    """A database with two tables of postings, the companies and a table of another kind."""
+    p = fixtures.monthly_postings(spark, sf)
+    base = scratch_path(spark, "raw_database")
+    name = f"raw_database_{base[-12:]}"
+    dated = {c: F.lit(v) for c, v in zip(P, ("2024", "01", "03"))}
+    tables = {"board_a": p.where(_BOARD_A), "board_b": p.where(f"not ({_BOARD_A})"),
+              "companies": fixtures.companies(spark, sf).withColumns(dated),
+              "events": fixtures.table(spark, sf, "events").withColumns(dated)}
+    for t, rows in tables.items():
+        writers.write_partitioned(rows, f"{base}/{t}")
+        crawl.register(spark, t, f"{base}/{t}", f"{base}/_{t}_footers", database=name)
+    out = None
+    for t, dates in sorted(jobs.sync_all(spark, name, None, f"{base}/out").items()):
+        part = partitions.read_partitioned(spark, f"{base}/out/{t}/unexploded").withColumn("table_name", F.lit(t))
+        out = part if out is None else out.unionByName(part)
+    return flat(out)
+
+
 @register("stringify_all", O.with_stages("select cast(columns(*) as varchar) from titled", "titled"))
 def q_stringify(spark, sf):
     return writers.stringify_all(clean.clean_rows(fixtures.postings(spark, sf)))
@@ -195,13 +243,27 @@ def q_land_by_run_date(spark, sf):
     return partitions.read_partitioned(spark, root).select("o_orderkey", "o_orderstatus", *P)
 
 
-# ------------------------------------------------------------------ SNK-06
-@register("validation_table", O.with_stages(FUNNEL_SQL, "silver", "kept_companies"))
+# ------------------------------------------------------------------ SNK-06 (the job's own table)
+def _landed_months(spark, sf: str, where: str = "true") -> tuple[str, str]:
+    """Postings by month and companies, landed."""
+    base = scratch_path(spark, "raw_months")
+    writers.write_partitioned(fixtures.monthly_postings(spark, sf).where(where), f"{base}/postings")
+    writers.write_partitioned(fixtures.companies(spark, sf).withColumns(
+        {c: F.lit(v) for c, v in zip(P, ("2024", "01", "03"))}), f"{base}/companies")
+    return f"{base}/postings", f"{base}/companies"
+
+
+def _outputs(spark) -> list[str]:
+    base = scratch_path(spark, "job")
+    return [f"{base}/{n}" for n in ("unexploded", "exploded", "validation")]
+
+
+@register("validation_table", O.with_stages(FUNNEL_SQL, "silver", "kept_companies", postings=fixtures.MONTHLY_SQL))
 def q_validation_table(spark, sf):
-    root = scratch_path(spark, "validation")
-    counts = silver.build(fixtures.postings(spark, sf), fixtures.companies(spark, sf)).counts
-    writers.write_partitioned(counts, root)
-    return partitions.read_partitioned(spark, root)
+    raw, companies = _landed_months(spark, sf)
+    out = _outputs(spark)
+    jobs.sync_silver(spark, raw, companies, *out)
+    return partitions.read_partitioned(spark, out[2])
 
 
 # ------------------------------------------------------------------ SNK-07
@@ -221,3 +283,17 @@ def q_incremental(spark, sf):
     out = incremental.sync_once(spark, raw, schema, fixtures.companies(spark, sf),
                                 scratch_path(spark, "silver_stream"), scratch_path(spark, "stream_ckpt"))
     return flat(out)
+
+
+@register("incremental_then_batch", O.with_stages(_SILVER, "silver", postings=fixtures.MONTHLY_SQL))
+def q_incremental_then_batch(spark, sf):
+    """The stream syncs the first dates, the batch job the later ones and a late file; one ledger for both."""
+    late = "(year >= '1996' or job_url like '%3')"
+    raw, companies = _landed_months(spark, sf, f"not {late}")
+    out = _outputs(spark)
+    schema = partitions.read_partitioned(spark, raw).schema
+    incremental.sync_once(spark, raw, schema, fixtures.companies(spark, sf), out[0], scratch_path(spark, "stream_ckpt"), out[1],
+                          validation_root=out[2])
+    writers.write_partitioned(fixtures.monthly_postings(spark, sf).where(late), raw, mode="append")
+    jobs.sync_silver(spark, raw, companies, *out)
+    return flat(partitions.read_partitioned(spark, out[0]))

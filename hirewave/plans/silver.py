@@ -43,9 +43,14 @@ def enriched(postings: DataFrame, companies_kept: DataFrame, skills_mode: str =
     return project_silver(clean.add_title_cleaned(skills.map_skills(joined)))
 
 
+def from_prepared(postings: DataFrame, companies_kept: DataFrame, skills_mode: str = "row") -> DataFrame:
+    """Silver, unexploded, with the companies that are left after the industry filter."""
+    return clean.drop_managers(clean.add_verticals(enriched(postings, companies_kept, skills_mode)))
+
+
 def silver_unexploded(postings: DataFrame, companies: DataFrame, skills_mode: str = "row") -> DataFrame:
     _, kept = enrich.prepare_companies(companies)
-    return clean.drop_managers(clean.add_verticals(enriched(postings, kept, skills_mode)))
+    return from_prepared(postings, kept, skills_mode)
 
 
 def silver_exploded(unexploded: DataFrame) -> DataFrame:
@@ -74,6 +79,6 @@ class SilverRun:
 
 def build(postings: DataFrame, companies: DataFrame, skills_mode: str = "row") -> SilverRun:
     base, kept = enrich.prepare_companies(companies)
-    unexploded = clean.drop_managers(clean.add_verticals(enriched(postings, kept, skills_mode)))
+    unexploded = from_prepared(postings, kept, skills_mode)
     counts = quality.funnel_counts(postings, base, kept, unexploded)
     return SilverRun(unexploded, counts)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirewave.functions import rules
+from hirewave.session import shared_dir
 
 P = rules.PARTITION_COLUMNS
 
@@ -31,15 +32,19 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite") -> None
 
 
 def replace_dates(df: DataFrame, path: str, dates: list[tuple[str, str, str]]) -> None:
-    """Write ``df`` and empty those of ``dates`` (bounded by the calendar) that it has no rows for."""
-    from hirewave.sources.partitions import dates_filter, read_partitioned
+    """Write ``df`` and empty those of ``dates`` (bounded by the calendar) that it has no rows for.
+
+    What was written is found by listing the files before and after: a date
+    keeps a file of the time before only where the write did not touch it.
+    """
+    from hirewave.sources import listing
 
-    write_partitioned(df, path)
     spark = df.sparkSession
-    kept = {tuple(r) for r in df.select(*P).distinct().collect()}
-    table = read_partitioned(spark, path, df.schema).where(dates_filter(dates))
-    stale = {tuple(r) for r in table.select(*P).distinct().collect()} - kept
-    for y, m, d in sorted(stale):
+    shared_dir(spark)
+    before = listing.list_files(spark, path, dates).checkpoint()
+    write_partitioned(df, path)
+    kept = before.join(listing.list_files(spark, path, dates).select("path"), "path", "left_semi")
+    for y, m, d in sorted(tuple(r) for r in kept.select(*P).distinct().collect()):
         (df.drop(*P).limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static")
            .parquet(f"{path.rstrip('/')}/year={y}/month={m}/day={d}"))
 
@@ -48,10 +53,12 @@ def save_table(df: DataFrame, path: str, table: str | None = None) -> None:
     """SNK-01: write by date (dynamic overwrite) and refresh the catalog table."""
     write_partitioned(df, path)
     if table:
+        from hirewave.sources import listing
+
         spark = df.sparkSession
         if spark.catalog.tableExists(table):
             name = ".".join(f"`{x}`" for x in table.split("."))
-            dates = [tuple(r) for r in df.select(*P).distinct().collect()]  # bounded by the calendar
+            dates = [tuple(r) for r in listing.list_dates(spark, path).collect()]  # bounded by the calendar
             parts = " ".join(f"PARTITION (year='{y}', month='{m}', day='{d}')" for y, m, d in dates)
             if parts:
                 spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")

@@ -1,78 +1,55 @@
 """Raw-zone reads across producers whose files disagree on the skills column.
 
 Different column *names* (``HARD SKILLS`` / ``HARD_SKILLS#0``) merge in one
-``mergeSchema`` scan.  The same name with different *types* (printed text
-in some files, true arrays in others) cannot be merged by Parquet; then the
-files of the requested dates are grouped by their own schema (footers read in
-one distributed pass), each group is read by one scan and its skills parsed by
-its own names and type, and the groups are unioned into one frame.  The data
-work is still one Spark job.
+scan with the merged schema.  The same name with different *types* (printed
+text in some files, true arrays in others) cannot be read by one scan; then
+the files of the requested dates are grouped by their own schema, each group
+is read by one scan and its skills parsed by its own names and type, and the
+groups are unioned into one frame.  The data work is still one Spark job.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirewave.functions import rules
 from hirewave.operators import clean, skills
-from hirewave.sources import partitions
+from hirewave.sources import crawl, listing, partitions
 
 P = rules.PARTITION_COLUMNS
 
 
-def file_schemas(spark: SparkSession, dirs: list[str]) -> DataFrame:
-    """(path, kind) of every Parquet file in ``dirs``; ``kind`` is the schema of its footer as text."""
-
-    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import re
-
-        import pyarrow.parquet as pq
-        from pyarrow import fs
-
-        for b in batches:
-            kinds = []
-            for uri in b.column(0).to_pylist():
-                if re.match("file:/|/", uri):
-                    store, name = fs.LocalFileSystem(), re.sub("^file:/+", "/", uri)
-                else:
-                    store, name = fs.FileSystem.from_uri(uri)
-                with store.open_input_file(name) as f:
-                    kinds.append("\n".join(f"{c.name}: {c.type}" for c in pq.read_schema(f)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(kinds, pa.string())], names=["path", "kind"])
+def read_crawled(spark: SparkSession, root: str, files: DataFrame, skills_mode: str = "row") -> tuple[DataFrame, str]:
+    """Rows of crawled ``files`` (see ``sources.crawl``) -> (frame, skills mode for ``silver.build``).
 
-    # the path alone: no content is read
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(dirs).select("path")
-    return files.mapInArrow(footers, "path string, kind string")
-
-
-def read_dates(spark: SparkSession, root: str, dates: DataFrame, skills_mode: str = "row") -> tuple[DataFrame, str]:
-    """Rows of the listed dates -> (frame, skills mode for ``silver.build``).
-
-    Mode is ``skills_mode`` on the fast path (skills still to parse) and
-    ``"parsed"`` after the per-file fallback (skills parsed per group), which
-    can only parse row by row: any other ``skills_mode`` raises there.
+    Schemas come from the crawl, so planning opens no footer.  Files that
+    agree on every type are one scan, and the mode is ``skills_mode`` (skills
+    still to parse).  Otherwise each group of equal schema is read by a scan of
+    its own, its skills parsed by its own names and type, row by row, and the
+    mode is ``"parsed"``; any other ``skills_mode`` raises there.
     """
-    try:
-        return partitions.scan_dates(spark, root, dates, merge_schema=True), skills_mode
-    except Exception as e:  # surfaces as a JVM error; only a schema-merge failure falls back
-        text = str(e)
-        if "CANNOT_MERGE_SCHEMAS" not in text and "Failed to merge" not in text:
-            raise
+    schema, torn = crawl.merged_schema(crawl.kinds(files))
+    if not torn:
+        dates = [tuple(r) for r in files.select(*P).distinct().orderBy(*P).collect()]  # bounded by the calendar
+        return crawl.read_group(spark, root, schema, [listing.date_dir(root, *d) for d in dates]), skills_mode
     if skills_mode != "row":
-        raise ValueError(f"mode {skills_mode!r} needs one type of skills column; these files differ, use mode 'row'")
-    # the dates of this run: bounded by the calendar; the paths: what the scans below have to list anyhow
-    keys = sorted({tuple(r) for r in dates.select(*P).collect()})
-    dirs = [f"{root.rstrip('/')}/year={y}/month={m}/day={d}" for y, m, d in keys]
-    groups = file_schemas(spark, dirs).groupBy("kind").agg(F.collect_list("path").alias("paths")).orderBy("kind").collect()
-    frames = []
-    for g in groups:
-        rows = spark.read.option("basePath", root).parquet(*sorted(g["paths"]))
-        frames.append(skills.parse_skills(clean.resolve_aliases(rows)))
+        raise ValueError(f"mode {skills_mode!r} needs one type for each column; these files differ in {', '.join(torn)}, use mode 'row'")
+    frames = [skills.parse_skills(clean.resolve_aliases(crawl.read_group(spark, root, kind, paths)))
+              for kind, paths in crawl.groups(spark, root, files)]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out, "parsed"
+
+
+def read_dates(spark: SparkSession, root: str, dates: DataFrame, skills_mode: str = "row") -> tuple[DataFrame, str]:
+    """Rows of the listed dates, without a registry of footers: those of the dates' files are read now."""
+    keys = sorted({tuple(r) for r in dates.select(*P).collect()})  # bounded by the calendar
+    files = crawl.footers(listing.list_files(spark, root, keys)).persist()
+    try:
+        if files.isEmpty():
+            return partitions.read_partitioned(spark, root).where(F.lit(False)), skills_mode
+        return read_crawled(spark, root, files, skills_mode)
+    finally:
+        files.unpersist()

@@ -18,30 +18,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from hirewave.functions import rules
-from hirewave.plans import silver
-from hirewave.sinks import writers
-from hirewave.sources import partitions
-from hirewave.sources import raw as raw_reads
+from hirewave.plans import jobs
+from hirewave.session import shared_dir
+from hirewave.sources import ledger, listing, partitions
 
 P = rules.PARTITION_COLUMNS
 
 
 def start_sync(spark: SparkSession, raw_root: str, raw_schema: StructType, companies: DataFrame,
                silver_root: str, checkpoint_location: str, exploded_root: str | None = None,
-               available_now: bool = True):
-    """Start the stream; returns the StreamingQuery (caller awaits it)."""
+               available_now: bool = True, validation_root: str | None = None, tables: tuple[str, str] | None = None):
+    """Start the stream; returns the StreamingQuery (caller awaits it).
+
+    With ``validation_root`` a batch writes validation rows and its id to the
+    ledger that the batch job keeps there, as its last step.  A batch that is
+    replayed after that step changes nothing, and a touched date whose files
+    are already synced as they are (by either of the two) is not redone.
+    """
+    out = jobs.Outputs(silver_root, exploded_root, validation_root, tables)
 
     def run_batch(batch: DataFrame, epoch_id: int) -> None:
-        touched = batch.select(*P).distinct()
-        rows, mode = raw_reads.read_dates(batch.sparkSession, raw_root, touched)
-        unexploded = silver.build(rows, companies, mode).unexploded.persist()
-        dates = [tuple(r) for r in touched.collect()]
-        try:
-            writers.replace_dates(unexploded, silver_root, dates)
-            if exploded_root:
-                writers.replace_dates(silver.silver_exploded(unexploded), exploded_root, dates)
-        finally:
-            unexploded.unpersist()
+        spark, run = batch.sparkSession, f"{checkpoint_location}#{epoch_id}"
+        if out.ledger_root and ledger.has_run(spark, out.ledger_root, run):
+            return
+        touched = [tuple(r) for r in batch.select(*P).distinct().collect()]  # bounded by the calendar
+        shared_dir(spark)
+        files = listing.list_files(spark, raw_root, touched)
+        states = listing.date_states(files).checkpoint()
+        done = ledger.synced(spark, out.ledger_root) if out.ledger_root else None
+        todo = states.select(*P) if done is None else ledger.changed_dates(states, done)
+        jobs.sync_dates(spark, raw_root, files, states, todo, companies, out, run)
 
     stream = (spark.readStream.schema(raw_schema)
               .option("basePath", raw_root)
@@ -52,9 +58,12 @@ def start_sync(spark: SparkSession, raw_root: str, raw_schema: StructType, compa
 
 
 def sync_once(spark: SparkSession, raw_root: str, raw_schema: StructType, companies: DataFrame,
-              silver_root: str, checkpoint_location: str, exploded_root: str | None = None) -> DataFrame:
-    q = start_sync(spark, raw_root, raw_schema, companies, silver_root, checkpoint_location, exploded_root)
+              silver_root: str, checkpoint_location: str, exploded_root: str | None = None,
+              validation_root: str | None = None, tables: tuple[str, str] | None = None) -> DataFrame:
+    """Process what is new and stop; the unexploded table."""
+    q = start_sync(spark, raw_root, raw_schema, companies, silver_root, checkpoint_location, exploded_root,
+                   validation_root=validation_root, tables=tables)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return partitions.read_partitioned(spark, silver_root)
+    return spark.table(tables[0]) if tables else partitions.read_partitioned(spark, silver_root)
