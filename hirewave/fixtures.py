@@ -62,6 +62,28 @@ COMPANIES_SQL = """select c_name as company_name,
  split_part('Oil and Gas|Hospitals and Health Care|Software Development|Banking|Aerospace|robotics|Restaurants|IT Services and IT Consulting', '|', cast(c_custkey % 8 as int) + 1) as company_industry
 from customer where c_custkey % 10 <> 0"""
 
+# Postings and companies with every column that silver can take; name -> expression, in both dialects.
+FULL_POSTING_COLUMNS = {
+    "search_title": "concat('  search ', cast(rid % 7 as string), ' ')",
+    "salary": "concat(' $', cast(rid % 90 + 40 as string), 'k ')",
+    "seniority_level": "split_part('Entry level|Associate|Director', '|', cast(rid % 3 as int) + 1)",
+    "industries": "concat('industry ', cast(rid % 11 as string))",
+    "job_function": "case when rid % 5 = 0 then null else concat('function ', cast(rid % 5 as string)) end",
+    "posted_on": "concat(' ', cast(rid % 28 + 1 as string), ' days ago')",
+    "DATE": "concat('date ', cast(rid % 3 as string))", "DEG": "concat('degree ', cast(rid % 4 as string))",
+    "EMAIL": "concat('jobs', cast(rid % 6 as string), '@example.org')", "EXP": "concat(cast(rid % 9 as string), ' years')",
+    "LOC": "case when rid % 6 = 0 then null else concat('loc ', cast(rid % 6 as string)) end", "PER": "concat('person ', cast(rid % 8 as string))",
+    "PHONE": "concat('555-', cast(rid % 100 as string))", "PROJECT": "concat('project ', cast(rid % 10 as string))",
+    "UNI": "concat('university ', cast(rid % 12 as string))",
+    "SOFT SKILLS": "concat('[teamwork, skill ', cast(rid % 13 as string), ']')",
+}
+FULL_COMPANY_COLUMNS = {
+    "company_url": "concat('https://companies.example/', company_name)", "website": "concat('www.', company_name)",
+    "company size": "concat(cast(length(company_name) as string), '-', cast(length(company_industry) * 100 as string))",
+    "headquarters": "concat('hq of ', company_name)", "type": "case when company_industry = 'Banking' then 'public' else 'private' end",
+    "founded": "cast(1900 + length(company_industry) as string)", "specialties": "concat('doing ', company_industry)",
+}
+
 # Derived inputs (FIXTURES.md §7).  Each text is portable Spark SQL / DuckDB.
 
 # board B rows: one per posting, salary and qualification list made from the order
@@ -110,6 +132,20 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(POSTINGS_ONE_PASS_SQL)
 
 
+def full_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postings as the first producer spells them, with all optional columns."""
+    rows = postings(spark, sf_dir).withColumnRenamed("hard_skills", "HARD SKILLS")
+    return rows.withColumns({k: F.expr(v) for k, v in FULL_POSTING_COLUMNS.items()})
+
+
+def full_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Companies of two dates with all columns; the older date has other values and is not the one to join."""
+    rows = companies(spark, sf_dir).withColumns({k: F.expr(v) for k, v in FULL_COMPANY_COLUMNS.items()})
+    new = rows.withColumns({c: F.lit(v) for c, v in zip(("year", "month", "day"), ("2024", "01", "10"))})
+    old = new.withColumns({"day": F.lit("09"), "website": F.lit("old"), "company_industry": F.lit("Old Software")})
+    return new.unionByName(old)
+
+
 def monthly_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings(spark, sf_dir).withColumn("day", F.lit("01"))
 

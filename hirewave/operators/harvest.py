@@ -157,7 +157,7 @@ def facet_plan(rows: DataFrame, cap: int = rules.RESULT_CAP, cut: bool = False)
     """
     g = (rows.rollup("keyword", "experience", "work_type")
              .agg(F.count(F.lit(1)).alias("total"), F.grouping_id().alias("gid"))
-             .where(F.col("keyword").isNotNull() & (F.col("gid") != 7)))
+             .where(F.col("gid") != 7))  # without the grand total; a null keyword is a keyword like others
     by_kw = Window.partitionBy("keyword")
     by_exp = Window.partitionBy("keyword", "experience")
     k_total = F.max(F.when(F.col("gid") == 3, F.col("total"))).over(by_kw)

@@ -228,7 +228,7 @@ _FACET_SQL = (
     "select *, max(case when gid = 3 then total end) over (partition by keyword) as k_total, "
     "max(case when gid = 1 then total end) over (partition by keyword, experience) as e_total from ("
     "select keyword, experience, work_type, count(*) as total, grouping(keyword, experience, work_type) as gid "
-    "from result_rows group by rollup(keyword, experience, work_type)) g where keyword is not null and gid <> 7) h "
+    "from result_rows group by rollup(keyword, experience, work_type)) g where gid <> 7) h "
     "where (gid = 3 and total <= 1000) or (gid = 1 and k_total > 1000 and total <= 1000) or (gid = 0 and e_total > 1000)")
 
 
@@ -237,6 +237,15 @@ def q_facet_plan(spark, sf):
     return harvest.facet_plan(fixtures.result_rows(spark, sf))
 
 
+_SOME_NULL = f"select case when experience = '2' then null else keyword end as keyword, experience, work_type from ({fixtures.RESULT_ROWS_SQL})"
+
+
+@register("facet_plan_null_keywords", fixtures.with_ctes(_FACET_SQL, result_rows=_SOME_NULL))
+def q_facet_plan_null(spark, sf):
+    rows = fixtures.result_rows(spark, sf)
+    return harvest.facet_plan(rows.withColumn("keyword", F.when(F.col("experience") != "2", F.col("keyword"))))
+
+
 # ------------------------------------------------------------------ HRV-09
 def _enc(x: str) -> str:
     return f"replace(url_encode({x}), '%20', '+')"

@@ -69,6 +69,18 @@ def q_latest(spark, sf):
     return partitions.latest_partition(listing.list_files(spark, landed_raw(spark, sf)))
 
 
+# ------------------------------------------------------------------ SRC-09
+@register("single_partition", O.with_stages(
+    f"select year, month, day, count(*) as n_rows from postings where {_LATEST} group by year, month, day", "postings"))
+def q_single_partition(spark, sf):
+    p = fixtures.postings(spark, sf)
+    key = F.concat(*P)
+    path = scratch_path(spark, "single")
+    date = writers.write_single(p.where(key == p.select(F.max(key)).scalar()), path)
+    back = partitions.read_partitioned(spark, path)
+    return back.groupBy(*P).agg(F.count("*").alias("n_rows")).where(partitions.date_filter(*date))
+
+
 # ------------------------------------------------------------------ SRC-06 / JON-04 / SET-03
 @register("remaining_dates", O.with_stages(
     "select distinct year, month, day from postings except select * from dest", "postings",

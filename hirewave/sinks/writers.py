@@ -31,6 +31,15 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite") -> None
         .parquet(path))
 
 
+def write_single(df: DataFrame, path: str) -> tuple[str, str, str]:
+    """Write rows of one date into its folder; the date.  A frame of no or several dates raises before anything is written."""
+    from hirewave.sources import listing, partitions
+
+    date = partitions.single_partition(df)
+    df.drop(*P).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(listing.date_dir(path, *date))
+    return date
+
+
 def replace_dates(df: DataFrame, path: str, dates: list[tuple[str, str, str]]) -> None:
     """Write ``df`` and empty those of ``dates`` (bounded by the calendar) that it has no rows for.
 

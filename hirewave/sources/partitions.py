@@ -69,6 +69,15 @@ def latest_partition(df: DataFrame) -> DataFrame:
     return df.select(F.max(F.struct(*P)).alias("k")).select("k.*")
 
 
+# SRC-09
+def single_partition(df: DataFrame) -> tuple[str, str, str]:
+    """The (year, month, day) of a frame that is promised to hold one date; raises when it holds none or several."""
+    found = df.select(*P).distinct().limit(2).collect()
+    if len(found) != 1:
+        raise ValueError(f"one partition expected, found {'none' if not found else 'several'}")
+    return tuple(found[0])
+
+
 # SRC-06 / JON-04 / SET-03
 def remaining_dates(src_dates: DataFrame, dest_dates: DataFrame | None) -> DataFrame:
     """Dates still to sync = source - destination.

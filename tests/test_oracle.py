@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 # registered queries that land tables (slow on this file system); run with -m slow
 WRITERS = {"raw_landing", "scan_partition", "list_partitions", "list_partitions_scan", "latest_partition",
            "remaining_dates", "remaining_dates_none_left", "remaining_dates_no_dest", "raw_zone_inventory",
-           "remaining_dates_late_files", "silver_republish", "silver_all_tables", "incremental_then_batch",
+           "single_partition", "remaining_dates_late_files", "silver_republish", "silver_all_tables", "incremental_then_batch",
            "silver_roundtrip", "csv_roundtrip", "csv_append", "land_by_run_date", "validation_table", "incremental_silver"}
 
 

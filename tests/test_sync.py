@@ -367,3 +367,18 @@ def test_raw_dates_are_scanned_once(spark, tmp_dir):
     assert len(full) == 1
     got = partitions.read_partitioned(spark, roots(tmp_dir)[2])
     assert got.agg(F.sum("initial_scrapped_data_count")).first()[0] == rows.count()
+
+
+# one promised date
+
+def test_several_dates_where_one_is_promised_raise(spark, tmp_dir):
+    rows = monthly(spark)
+    with pytest.raises(ValueError, match="several"):
+        writers.write_single(rows, os.path.join(tmp_dir, "x"))
+    with pytest.raises(ValueError, match="none"):
+        partitions.single_partition(rows.limit(0))
+    assert not os.path.exists(os.path.join(tmp_dir, "x"))
+    one = rows.where("year = '1996'")
+    for _ in range(2):
+        assert writers.write_single(one, os.path.join(tmp_dir, "x")) == ("1996", "01", "01")
+    assert partitions.read_partitioned(spark, os.path.join(tmp_dir, "x")).count() == one.count()
