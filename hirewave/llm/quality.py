@@ -22,6 +22,8 @@ CONFIDENT = 0.98
 THRESHOLD = 0.5
 BINS = 16
 WORD_BUCKETS = 256
+#: rows held at full width in the fit
+CHUNK = 1000
 _MARKS = b"!#$%&*|.,;:?-_=/\"'()"
 
 
@@ -43,11 +45,11 @@ def text_features(text: str | None) -> list[float]:
 
 
 def _word_counts(words: list[bytes]) -> list[int]:
-    """Words in ``WORD_BUCKETS`` buckets by the hash of their small letters, at most 255 in one."""
+    """Words in ``WORD_BUCKETS`` buckets by the hash of their small letters."""
     out = [0] * WORD_BUCKETS
     for w, n in Counter(words).items():
         out[zlib.crc32(w.lower()) % WORD_BUCKETS] += n
-    return [min(n, 255) for n in out]
+    return out
 
 
 N_TEXT = len(text_features(""))
@@ -84,13 +86,22 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 12) -> np.ndarray:
-    """Ridge logistic regression by Newton steps."""
-    x, w = x.astype(np.float64), np.zeros(x.shape[1])
+def fit_logistic(x: np.ndarray | Callable, y: np.ndarray, ridge: float = 1.0, steps: int = 12) -> np.ndarray:
+    """Ridge logistic regression by Newton steps; ``x`` is a matrix, or gives the rows of a slice.
+
+    Gradient and Hessian are summed over chunks of rows, so only a chunk is
+    ever held as numbers of full width.
+    """
+    dense = x if callable(x) else x.__getitem__
+    w = np.zeros(dense(slice(0, 0)).shape[1])
     for _ in range(steps):
-        p = _sigmoid(x @ w)
-        h = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
-        step = np.linalg.solve(h, x.T @ (y - p) - ridge * w)
+        h, slope = ridge * np.eye(len(w)), -ridge * w
+        for i in range(0, len(y), CHUNK):
+            part = dense(slice(i, i + CHUNK)).astype(np.float64)
+            p = _sigmoid(part @ w)
+            h += (part * (p * (1 - p))[:, None]).T @ part
+            slope += part.T @ (y[i:i + CHUNK] - p)
+        step = np.linalg.solve(h, slope)
         w += step
         if np.abs(step).max() < 1e-4:
             break
@@ -132,24 +143,25 @@ def co_train(x: np.ndarray, buckets: np.ndarray, y: np.ndarray, pool_x: np.ndarr
     cuts = np.linspace(0, 1, BINS + 1)[1:-1]
     if edges is None:
         edges = np.quantile(np.concatenate([x, pool_x])[:, :N_SHAPE], cuts, axis=0).T
-    tx, mx = _one_hot(x, edges), _multi_hot(buckets)
-    ptx, pmx = _one_hot(pool_x, edges), _multi_hot(pool_buckets)
+    wide = {"text": lambda part: _one_hot(part, edges), "meta": _multi_hot}
+    known, pool = {"text": x, "meta": buckets}, {"text": pool_x, "meta": pool_buckets}
     taught = {"text": np.full(len(pool_x), -1), "meta": np.full(len(pool_x), -1)}
     share = y[~held].mean()
     for r in range(rounds + 1):
         fits = {}
-        for view, own, pool in (("text", tx, ptx), ("meta", mx, pmx)):
+        for view in wide:
             got = taught[view] >= 0
-            fits[view] = fit_logistic(np.concatenate([own[~held], pool[got]]), np.concatenate([y[~held], taught[view][got]]))
+            rows = np.concatenate([known[view][~held], pool[view][got]])
+            fits[view] = fit_logistic(lambda part, rows=rows, view=view: wide[view](rows[part]), np.concatenate([y[~held], taught[view][got]]))
         if r == rounds or not (len(pool_x) or pick):
             break
         if pick:
             px, pb, new = pick(Model(edges, fits["text"], fits["meta"], np.zeros(3)), share, confident)
-            ptx, pmx = np.concatenate([ptx, _one_hot(px, edges)]), np.concatenate([pmx, _multi_hot(pb)])
+            pool = {"text": np.concatenate([pool["text"], px]), "meta": np.concatenate([pool["meta"], pb])}
             taught = {view: np.concatenate([taught[view], new[view]]) for view in taught}
             continue
-        for view, other, pool in (("text", "meta", ptx), ("meta", "text", pmx)):
-            p = _sigmoid(pool @ fits[view])
+        for view, other in (("text", "meta"), ("meta", "text")):
+            p = _sigmoid(np.concatenate([wide[view](pool[view][i:i + CHUNK]) @ fits[view] for i in range(0, len(pool[view]), CHUNK)]))
             for label, rank, part in ((1, -p, share), (0, p, 1 - share)):
                 sure = (p >= confident) if label else (p <= 1 - confident)
                 free = np.flatnonzero(sure & (taught[other] < 0))
@@ -178,9 +190,9 @@ def _featurise(b: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _matrices(got: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Both views of the rows of a table with shapes x, word counts w (a byte each) and buckets m."""
+    """Both views of the rows of a table with shapes x, word counts w (32 bits each) and buckets m."""
     x, m = (got[c].combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("x", "m"))
-    w = np.frombuffer(b"".join(got["w"].to_pylist()), dtype=np.uint8)
+    w = np.frombuffer(b"".join(got["w"].to_pylist()), dtype="<u4")
     return (np.concatenate([x.reshape(got.num_rows, N_SHAPE), w.reshape(got.num_rows, WORD_BUCKETS)], axis=1),
             m.reshape(got.num_rows, 4))
 
@@ -249,7 +261,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 x, m = _featurise(b, 1)
                 lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1, dtype=np.int32) * v.shape[1]), pa.array(v.ravel()))
                          for v in (x[:, :N_SHAPE], m)]
-                words = pa.array([v.tobytes() for v in x[:, N_SHAPE:].astype(np.uint8)], pa.binary())
+                words = pa.array([v.tobytes() for v in x[:, N_SHAPE:].astype("<u4")], pa.binary())
                 yield pa.RecordBatch.from_arrays([b.column(0), lists[0], words, lists[1], b.column(5)], names=["id", "x", "w", "m", "y"])
 
     seen = known.select("id", "text", "source", "lang", "chars", "y").mapInArrow(
@@ -260,9 +272,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     got = (seen if whole else seen.where("y is not null")).select("x", "w", "m", "y").toArrow()
     y = np.array([-1 if v is None else min(max(v, 0), 1) for v in got["y"].to_pylist()])
     x, m = _matrices(got)
+    del got
     order = np.lexsort((*m.T, *x.T))  # the same order whatever task came first
-    y, x, m = y[order], x[order], m[order]
-    order = np.random.default_rng(0).permutation(len(y))
+    order = order[np.random.default_rng(0).permutation(len(y))]
     y, x, m = y[order], x[order], m[order]
     has = y >= 0
     if len(set(y[has])) < 2 or len(set(y[has][np.arange(has.sum()) % 5 != 4])) < 2:
