@@ -27,7 +27,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hirewave.session import shared_dir
+from hirewave.session import scratch_path, shared_dir
 
 
 def sequence_ids(df: DataFrame, group_cols: list[str], order_cols: list[str],
@@ -66,3 +66,38 @@ def sequence_ids(df: DataFrame, group_cols: list[str], order_cols: list[str],
 def compat_ids(df: DataFrame, order_col: str = "extract_date", id_col: str = "id") -> DataFrame:
     """The original id: global sort, ``monotonically_increasing_id() + 1`` (not contiguous)."""
     return df.orderBy(order_col).withColumn(id_col, F.monotonically_increasing_id() + 1)
+
+
+def list_ids(rows: DataFrame, group_cols: list[str], order_cols: list[str], list_col: str, id_col: str = "id") -> DataFrame:
+    """Rows read from files, one for each list entry, with ids 1.. in each group; the wide rows are never sorted or checkpointed.
+
+    Two passes.  The first takes the keys, the list's length and the row's
+    place in its file, puts those narrow rows in order (range partitioned, so
+    a hot group is split), writes them, and adds up the lengths inside each
+    stretch and over the stretches.  The second joins each row's first id back
+    by its place in the file, a key without skew, and explodes.  Ties in
+    ``order_cols`` are broken by that place; null and empty lists have no ids.
+    """
+    spark = rows.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spot = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    narrow = rows.select(*group_cols, *order_cols, *spot, F.greatest(F.size(list_col), F.lit(0)).cast("long").alias("_n")).where("_n > 0")
+    keys = [F.col(c).asc_nulls_first() for c in [*group_cols, *order_cols, "_file", "_row"]]
+    placed = (narrow.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_place", F.monotonically_increasing_id())
+              .select(*group_cols, "_file", "_row", "_n", "_place", F.shiftright("_place", 33).alias("_part")))
+    path = scratch_path(spark, "ids")
+    placed.write.parquet(path)
+    placed = spark.read.schema(placed.schema).parquet(path)
+    stretches = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)          # one row for each partition
+    starts = placed.groupBy("_part").agg(F.sum("_n").alias("_sum")).select(
+        F.col("_part").alias("_p"), F.coalesce(F.sum("_sum").over(stretches), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    before = placed.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(
+        F.broadcast(starts), F.col("_part") == F.col("_p")).withColumn("_before", F.col("_start") + F.col("_in"))
+    first = before.groupBy(*[F.col(c).alias(f"_g_{c}") for c in group_cols]).agg(F.min("_before").alias("_base"))
+    same = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in group_cols]
+    starts_of = before.join(first, same).select("_file", "_row", (F.col("_before") - F.col("_base")).alias("_first"))
+    others = [F.col(f"`{c}`") for c in rows.columns if c != list_col]
+    wide = rows.select("*", *spot).join(starts_of, ["_file", "_row"])
+    return wide.select(*others, F.col(list_col).alias(f"{list_col}_array"), "_first", F.posexplode(list_col).alias("skill_pos", list_col)).withColumn(
+        id_col, (F.col("_first") + F.col("skill_pos") + 1).cast("bigint")).drop("_first")

@@ -6,8 +6,8 @@
     exploded (ids), validation counts -> ledger.
 
 One Spark job per output for *all* due dates; no driver loop over dates.  The
-unexploded frame feeds two writes, so it is persisted around them (a lost
-block is recomputed from the deterministic lineage) and released afterwards.
+unexploded rows are computed once and written; the exploded table and the
+counts read the written files, so nothing wide is cached or checkpointed.
 The raw dates are scanned once: the counts come from the footers of the raw
 files and of the files just written, which an executor that is lost and
 recomputed cannot count twice.
@@ -69,12 +69,6 @@ def _due(spark: SparkSession, states: DataFrame, out: Outputs) -> DataFrame:
     return partitions.remaining_dates(states, None if before.isEmpty() else before)
 
 
-def rows_written(spark: SparkSession, path: str, dates: list[tuple[str, str, str]], schema) -> DataFrame:
-    """(year, month, day, n_rows) of the files just written, by a count that reads footers alone."""
-    held = partitions.read_partitioned(spark, path, schema).where(partitions.dates_filter(dates))
-    return held.groupBy(*P).agg(F.count(F.lit(1)).alias("n_rows"))
-
-
 def sync_dates(spark: SparkSession, raw_root: str, files: DataFrame, states: DataFrame, todo: DataFrame, companies: DataFrame,
                out: Outputs, run: str, skills_mode: str = "row") -> None:
     """Redo the dates ``todo`` whole out of their ``files`` (of a listing), and commit them as ``run``.
@@ -93,25 +87,25 @@ def sync_dates(spark: SparkSession, raw_root: str, files: DataFrame, states: Dat
         else:
             rows, mode = raw_reads.read_dates(spark, raw_root, todo, skills_mode)
         base, kept = enrich.prepare_companies(companies)
-        unexploded = silver.from_prepared(rows, kept, mode).persist(StorageLevel.MEMORY_AND_DISK)
+        unexploded = silver.from_prepared(rows, kept, mode)
         try:
-            if out.tables:
-                staged = [publish.stage(unexploded, out.tables[0], out.silver_root)]
-                if out.exploded_root:
-                    staged.append(publish.stage(silver.silver_exploded(unexploded), out.tables[1], out.exploded_root))
-                publish.publish(spark, staged, dates)
-                final = staged[0].path
-            else:
+            staged = [publish.stage(unexploded, out.tables[0], out.silver_root)] if out.tables else []
+            if not staged:
                 writers.replace_dates(unexploded, out.silver_root, dates)
-                if out.exploded_root:
-                    writers.replace_dates(silver.silver_exploded(unexploded), out.exploded_root, dates)
-                final = out.silver_root
+            final = staged[0].path if staged else out.silver_root
+            written = partitions.read_partitioned(spark, final, unexploded.schema).where(partitions.dates_filter(dates))
+            if out.exploded_root and staged:
+                staged.append(publish.stage(silver.exploded_of_table(written), out.tables[1], out.exploded_root))
+            elif out.exploded_root:
+                writers.replace_dates(silver.exploded_of_table(written), out.exploded_root, dates)
+            if staged:
+                publish.publish(spark, staged, dates)
             if out.validation_root:
-                counted = quality.funnel_rows(todo.join(crawl.rows_by_date(crawled), P, "left"),
-                                              rows_written(spark, final, dates, unexploded.schema), base, kept)
+                # a count that reads footers alone
+                final_rows = written.groupBy(*P).agg(F.count(F.lit(1)).alias("n_rows"))
+                counted = quality.funnel_rows(todo.join(crawl.rows_by_date(crawled), P, "left"), final_rows, base, kept)
                 writers.write_partitioned(counted, out.validation_root)
         finally:
-            unexploded.unpersist()
             if crawled is not None:
                 crawled.unpersist()
     if out.ledger_root:

@@ -61,6 +61,11 @@ def silver_exploded(unexploded: DataFrame) -> DataFrame:
                             expand=lambda d: skills.explode_skills(d.drop("_tie")))
 
 
+def exploded_of_table(table: DataFrame) -> DataFrame:
+    """``silver_exploded`` of unexploded rows that lie in files: only narrow keys are put in order."""
+    return ids.list_ids(table, P, ["extract_date", "job_url", "company_name"], "hard_skills")
+
+
 @dataclass
 class SilverRun:
     """The outputs of one run.  ``exploded`` is built on first use: its ids
