@@ -218,7 +218,6 @@ PAGE_SIZE_B = 20           # postings per page, board B
 SEARCH_LOCATION = "United States"
 RECENCY_PARAM = "r86400"   # last 24 hours, in seconds
 RECENCY_SECONDS = 86400
-DEFAULT_RUN_DATE = "2024-01-03"
 
 # --------------------------------------------------------------------------
 # FIXED VALUES — column lists of the cleaning job.

@@ -11,7 +11,7 @@ from hirewave.operators import enrich, harvest, pages
 from hirewave.plans import oracle as O
 from hirewave.plans.registry import register
 
-RUN_DATE = rules.DEFAULT_RUN_DATE
+RUN_DATE = "2024-01-03"  # when the stored pages of the queries were fetched; the library takes it as an argument
 BASE_URL = "https://board-a.example/search"
 
 
@@ -79,7 +79,7 @@ def q_detail_fields(spark, sf):
     + ", ".join(f"{d_span(t)} as {n}" for n, t in rules.DETAIL_SPANS) + " from detail_pages",
     "postings", extra={"detail_pages": fixtures.DETAIL_PAGES_SQL}))
 def q_detail_fields_parsed(spark, sf):
-    """Same fields through the HTML parser (mapInPandas, Arrow batches)."""
+    """Same fields through the HTML parser (mapInArrow, Arrow batches)."""
     return harvest.page_fields_parsed(fixtures.detail_pages(spark, sf), "h2")
 
 

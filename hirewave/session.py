@@ -78,7 +78,7 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``hirewave`` importable in the Python workers (once per application).
 
-    Only operators that run Python in tasks (``mapInPandas``) need it; the
+    Only operators that run Python in tasks (``mapInArrow``) need it; the
     package is zipped into the shared folder and added with ``addPyFile``,
     which Spark distributes to every executor.
     """
