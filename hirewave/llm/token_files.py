@@ -12,9 +12,12 @@ decompresses only the frames that hold the documents it wants.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +35,8 @@ SHARD_IDS = 1 << 26
 SHARD_DOCS = 1 << 20
 #: ids that one reading task takes from a shard
 READ_IDS = 1 << 23
-#: longer texts are encoded in pieces
-PIECE_CHARS = 1 << 20
+#: pieces whose ids a Python worker keeps, from task to task
+CACHE_WORDS = 1_000_000
 
 #: fixed values of the seekable format: magic numbers and sizes
 SEEK_MAGIC = 0x8F92EAB1
@@ -47,38 +50,83 @@ SKIP_HEAD = struct.Struct("<II")
 
 # encoding
 
-def pieces(text: str, most: int = PIECE_CHARS) -> list[str]:
-    """``text`` cut before blanks that stand between ASCII letters, where no token or normalisation reaches across."""
-    out, at = [], 0
-    while len(text) - at > most:
-        cut = at + most
-        while cut < len(text) - 1 and not (text[cut] == " " and _letter(text[cut - 1]) and _letter(text[cut + 1])):
-            cut += 1
-        if cut >= len(text) - 1:
-            break
-        out.append(text[at:cut])
-        at = cut
-    return [*out, text[at:]]
+#: the vocabulary's pattern of words, for ASCII and the letters of Latin-1 (single characters that normalise to themselves)
+PLAIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+", re.ASCII)
+NOT_PLAIN = re.compile(r"[^\x00-\x7fÀ-ÖØ-öø-ÿ]|<\|")
+WORD_END = "</w>"
 
 
-def _letter(c: str) -> bool:
-    return c.isascii() and c.isalpha()
+def _plain(part: str) -> bool:
+    return NOT_PLAIN.search(part) is None
 
 
 class Encoder:
-    """The library's ids of whole texts, with the end id after each."""
+    """The library's ids of whole texts, with the end id after each.
+
+    Texts are cut at blanks and line feeds, which no token, normalisation or
+    pattern of the vocabulary reaches across.  Parts of ASCII and Latin-1
+    letters, where the normalisation is lower case, are cut further into the
+    pattern's words; all others, and those that may hold special tokens, stay
+    whole.  The
+    library encodes every different piece once (words side by side in one
+    text, parted by the tokens that end a word), and the ids of pieces seen (a
+    bounded number) are kept.
+    """
 
-    def __init__(self, tokenizer: str, end_id: int = END_ID, most: int = PIECE_CHARS) -> None:
+    def __init__(self, tokenizer: str, end_id: int = END_ID, cache_words: int = CACHE_WORDS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.library, self.end, self.most = Tokenizer.from_str(tokenizer), end_id, most
+        self.library, self.limit, self.known = Tokenizer.from_str(tokenizer), cache_words, {}
+        self.end = np.array([end_id], dtype="<u4").tobytes()
+        self.closes = np.zeros(self.library.get_vocab_size(), dtype=bool)
+        self.closes[[i for t, i in self.library.get_vocab().items() if t.endswith(WORD_END)]] = True
+
+    @staticmethod
+    def _cut(text: str) -> tuple[list[str], set[str]]:
+        """Pieces of a text, and which of them are not plain words."""
+        if _plain(text):
+            return PLAIN_WORDS.findall(text.lower()), set()
+        out, odd = [], set()
+        for plain, parts in groupby(text.replace("\n", " ").split(" "), _plain):
+            some = PLAIN_WORDS.findall(" ".join(parts).lower()) if plain else list(parts)
+            out += some
+            if not plain:
+                odd.update(some)
+        return out, odd
+
+    def _words(self, fresh: list[str]) -> Iterator[tuple[str, bytes]]:
+        for i in range(0, len(fresh), 4096):
+            words = fresh[i:i + 4096]
+            ids = np.array(self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
+            if len(ends) != len(words) or (len(ends) and ends[-1] != 4 * len(ids)):
+                raise ValueError("the vocabulary does not end every word with a token of its own")
+            raw, at = ids.tobytes(), 0
+            for word, end in zip(words, ends.tolist()):
+                yield word, raw[at:end]
+                at = end
+
+    def _learn(self, pieces: set[str], odd: set[str]) -> None:
+        self.known.update(self._words(list(pieces - odd)))
+        rest = list(odd & pieces)
+        for piece, found in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False)):
+            self.known[piece] = np.array(found.ids, dtype="<u4").tobytes()
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        parts = [pieces(t or "", self.most) for t in texts]
-        flat = [p for some in parts for p in some]
-        found = iter(self.library.encode_batch_fast(flat, add_special_tokens=False))
-        return [np.array([i for _ in some for i in next(found).ids] + [self.end], dtype="<u4") for some in parts]
+        split = [self._cut(t or "") for t in texts]
+        words, odd = set().union(*(w for w, _ in split)), set().union(*(o for _, o in split))
+        fresh = words - self.known.keys()
+        if len(self.known) + len(fresh) > self.limit:
+            self.known, fresh = {}, words
+        self._learn(fresh, odd)
+        return [np.frombuffer(b"".join([*map(self.known.__getitem__, w), self.end]), dtype="<u4") for w, _ in split]
+
+
+@lru_cache(maxsize=1)
+def encoder(tokenizer: str, end_id: int) -> Encoder:
+    """The encoder of this Python worker."""
+    return Encoder(tokenizer, end_id)
 
 
 # one shard
@@ -221,7 +269,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, part = Encoder(tokenizer.value, end_id), TaskContext.get().partitionId()
+        encode, part = encoder(tokenizer.value, end_id), TaskContext.get().partitionId()
         store, root = _store(folder)
         store.create_dir(root, recursive=True)
         writer, path, done = None, None, 0
