@@ -14,27 +14,48 @@ from hirewave.llm.common import materialize, table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go.
+
+    Null texts count as empty; null metadata is a value of its own; rows that
+    repeat an id are each judged by their own text.  Without labels of two
+    classes every document stays.  An empty table stays empty.
+    """
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the smallest id."""
+    """One document of each group of near duplicates stays, the one with the smallest id.
+
+    Null, empty and blank texts share the fingerprint zero, so one of them
+    stays; rows that repeat id and text are one, rows of one id with other
+    texts are judged apart.  An empty table stays empty.
+    """
     return simhash.keep_first(docs)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words of passages that an earlier document holds are taken out of the text."""
+    """Words of passages that an earlier document holds are taken out of the text.
+
+    Null texts have no words and pass; texts below 13 words lose nothing; a
+    document that loses all its words stays, with an empty text.
+    """
     return substring.cut_documents(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents come as often as the mix takes them; the last time perhaps in part."""
+    """Documents come as often as the mix takes them; the last time perhaps in part.
+
+    Null and empty texts have no words, so the mix does not take them; a null
+    source is a source of its own, the last.  Ties go by seeded order, so reruns agree.
+    """
     return mixing.mixed_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids (little-endian 32-bit) and the text decoded from them."""
+    """doc_id, n_tokens, ids (little-endian 32-bit) and the text decoded from them.
+
+    Null texts count as empty (two ids); repeated rows come as often as they are there.
+    """
     return sentencepiece_bpe.encode_decode(docs, sentencepiece_bpe.default_model()).withColumnRenamed("id", "doc_id")
 
 
