@@ -14,6 +14,7 @@ HEAD_PAIRS = 16_000
 #: share of rows whose words the frequency sketches see, and entries they track; only speed depends on them
 HEAD_SHARE = 0.05
 TRACKED = 50_000
+GROUPS = 64
 #: bytes of blank and second word over which a head word's CRC state is continued
 MAX_TAIL = 16
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -55,12 +56,19 @@ def head(docs: DataFrame, text_col: str = "text", n_words: int = HEAD_WORDS, n_p
     tokens = runs(docs.sample(share, seed=0), text_col)
     word = F.when(F.col("w") != "", F.col("w"))
     pair = F.when((F.col("w") != "") & (F.col("nxt") != ""), F.concat("w", F.lit(" "), "nxt"))
-    top = lambda c, k: F.slice(F.call_function("approx_top_k", c, F.lit(max(k, 1)), F.lit(max(tracked, k))), 1, k)
-    found = materialize(tokens.agg(top(word, n_words).alias("words"), top(pair, n_pairs).alias("pairs")), "resampling-head")
+    items = tokens.select(F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("_g"), F.explode(F.array(
+        F.struct(F.lit("word").alias("kind"), word.alias("item")), F.struct(F.lit("pair").alias("kind"), pair.alias("item")))).alias("_i"))
+    # the tasks' sketches are merged by GROUPS tasks for each kind, then by one; no sketch is empty
+    parts = items.where("_i.item is not null").groupBy("_g", "_i.kind").agg(
+        F.call_function("approx_top_k_accumulate", F.col("_i.item"), F.lit(tracked)).alias("sketch"))
+    merged = F.call_function("approx_top_k_combine", F.col("sketch"), F.lit(tracked))
+    found = materialize(parts.groupBy("kind").agg(
+        F.call_function("approx_top_k_estimate", merged, F.lit(max(n_words, n_pairs, 1))).alias("top")), "resampling-head")
+    top = lambda kind, k: found.where(F.col("kind") == kind).select(F.explode(F.slice("top.item", 1, k)).alias(f"h_{kind}"))
     zeros = [b"\x00" * k for k in range(MAX_TAIL + 1)]
     states = F.array(*[F.crc32(F.concat(F.col("h_word").cast("binary"), F.lit(z))).bitwiseXOR(F.crc32(F.lit(z))) for z in zeros])
-    words = found.select(F.explode("words.item").alias("h_word")).withColumns({"h_states": states})
-    pairs = found.select(F.explode("pairs.item").alias("h_pair")).select(
+    words = top("word", n_words).withColumns({"h_states": states})
+    pairs = top("pair", n_pairs).select(
         F.substring_index("h_pair", " ", 1).alias("p_first"), F.substring_index("h_pair", " ", -1).alias("p_second"),
         F.crc32("h_pair").alias("p_crc"))
     return materialize(words, "resampling-words"), materialize(pairs, "resampling-pairs")

@@ -103,3 +103,14 @@ def test_no_python_in_the_plan(spark):
     docs = frame(spark, list(enumerate(made_up(20))))
     plan = resampling.weights(docs, docs.select("text"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "InArrow" not in plan and "InPandas" not in plan and "Cartesian" not in plan
+
+
+def test_texts_without_pairs_in_many_partitions(spark):
+    docs = [(i, ["one", "", None, ".", "two words", "x" * 9][i % 6]) for i in range(120)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(100)
+    table, pairs = resampling.head(df, share=1.0)
+    assert sorted(r.h_word for r in table.collect()) == ["one", "two", "words", "x" * 9] and [tuple(r)[:2] for r in pairs.collect()] == [("two", "words")]
+    alone = df.where("text = 'one'")
+    assert [t.count() for t in resampling.head(alone, share=1.0)] == [1, 0]
+    got = resampling.resample(df, alone.select("text"))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == plain(docs, ["one"] * 20)
