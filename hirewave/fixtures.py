@@ -258,6 +258,12 @@ RESULT_LABELS_SQL = f"""select keyword, experience, n,
 from (select keyword, experience, count(*) as n from result_rows group by keyword, experience) c"""
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """The same rows over ``spark.sql.shuffle.partitions`` tasks, before wide and costly work on each: a table
+    in one file, or in a few large row groups, is otherwise read by as few tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def pages_kw(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_base_tables(spark, sf_dir, ["pages"])
     return spark.sql(PAGES_KW_SQL)
@@ -274,12 +280,12 @@ def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def marked_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    postings(spark, sf_dir).createOrReplaceTempView("postings")
+    spread(postings(spark, sf_dir), "rid", "job_url").createOrReplaceTempView("postings")
     return spark.sql(MARKED_DETAIL_SQL)
 
 
 def marked_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages_kw(spark, sf_dir).createOrReplaceTempView("pages_kw")
+    spread(pages_kw(spark, sf_dir), "page_id", "url").createOrReplaceTempView("pages_kw")
     return spark.sql(MARKED_LIST_SQL)
 
 

@@ -151,6 +151,29 @@ def test_parser_follows_markup_the_patterns_cannot(spark):
     assert [tuple(r) for r in got] == [(1, "?p=2&q", 1234, ["a < b", "c"], []), (2, None, 0, [], []), (3, None, 0, [], [])]
 
 
+def test_plain_route_gives_the_library_parsers_rows():
+    plain = ('<!DOCTYPE html><title>t &amp; u</title><ul id="job-list"><li class=\'css-0\'><div data-jobkey="k"><A HREF="/j?a=1&amp;b">x</a></div></li></ul>'
+             '<h2 class="t"> <em>A &amp; B&#33;</em> </h2><SPAN DATA-TESTID="viewJobCompanyName" data-testid="no"><b>Ac<!-- c -->me</b></SPAN></p>'
+             '<div data-testid="viewJobQualificationsContainer"><ul><li>one<br></li><li>two</ul></div>a<script>x = 1</script>')
+    odd = ["a < b", "<br/>", "<a href=bare>", "<a title='x'href='y'>", "<script>'</p>'</script>", "<title>", "<!-- a-b -->", "<textarea>&lt;</textarea>",
+           "<a href='&copy=1'>", "</div a='b'>", "<", "<?x?>"]
+    assert pages._Page("h2").read_plain(plain) and not any(pages._Page("h2").read_plain(o) for o in odd)
+    for html in [plain, *(f"<h2>T{o}</h2>{plain}" for o in odd)]:
+        library = pages._Page("h2")
+        library.feed(html)
+        library.close()
+        library._flush()
+        assert pages.parse_page(html, "h2") == library.row(), html
+
+
+def test_pages_of_a_one_file_table_are_parsed_by_many_tasks(spark):
+    from hirewave.plans import queries_harvest as q
+
+    sf, n = "/root/testdata/sf0.001", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for query in (q.q_marked_fields, q.q_marked_text_lists, q.q_marked_result_count):
+        assert query(spark, sf).select(F.spark_partition_id().alias("p")).distinct().count() == n, query.__name__
+
+
 def test_fixed_schemas_without_rows(spark):
     empty = harvest.fixed_schema(spark.createDataFrame([], harvest.LINK_SCHEMA), harvest.LINK_SCHEMA)
     assert empty.columns == ["extract_date", "department", "main_title", "job_title", "url"] and empty.count() == 0
