@@ -170,7 +170,7 @@ def test_pages_of_a_one_file_table_are_parsed_by_many_tasks(spark):
     from hirewave.plans import queries_harvest as q
 
     sf, n = "/root/testdata/sf0.001", int(spark.conf.get("spark.sql.shuffle.partitions"))
-    for query in (q.q_marked_fields, q.q_marked_text_lists, q.q_marked_result_count):
+    for query in (q.q_marked_fields, q.q_marked_text_lists, q.q_detail_fields_parsed, q.q_marked_result_count):
         assert query(spark, sf).select(F.spark_partition_id().alias("p")).distinct().count() == n, query.__name__
 
 
