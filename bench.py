@@ -48,7 +48,7 @@ HEADLINE = [
 
 # timed and printed beside the headline, not part of its total: queries that land tables
 LANDING = [
-    "validation_table",      # postings landed by month, then the daily job end to end
+    "validation_table",      # postings landed by day, then the daily job end to end
     "land_by_run_date",
 ]
 

@@ -256,10 +256,10 @@ def q_land_by_run_date(spark, sf):
 
 
 # ------------------------------------------------------------------ SNK-06 (the job's own table)
-def _landed_months(spark, sf: str, where: str = "true") -> tuple[str, str]:
-    """Postings by month and companies, landed."""
-    base = scratch_path(spark, "raw_months")
-    writers.write_partitioned(fixtures.monthly_postings(spark, sf).where(where), f"{base}/postings")
+def _landed(spark, sf: str, postings) -> tuple[str, str]:
+    """Postings and companies, landed."""
+    base = scratch_path(spark, "raw_landed")
+    writers.write_partitioned(postings, f"{base}/postings")
     writers.write_partitioned(fixtures.companies(spark, sf).withColumns(
         {c: F.lit(v) for c, v in zip(P, ("2024", "01", "03"))}), f"{base}/companies")
     return f"{base}/postings", f"{base}/companies"
@@ -270,9 +270,10 @@ def _outputs(spark) -> list[str]:
     return [f"{base}/{n}" for n in ("unexploded", "exploded", "validation")]
 
 
-@register("validation_table", O.with_stages(FUNNEL_SQL, "silver", "kept_companies", postings=fixtures.MONTHLY_SQL))
+@register("validation_table", O.with_stages(FUNNEL_SQL, "silver", "kept_companies"))
 def q_validation_table(spark, sf):
-    raw, companies = _landed_months(spark, sf)
+    """Every day of the postings landed, then the daily job over all of them."""
+    raw, companies = _landed(spark, sf, fixtures.postings(spark, sf))
     out = _outputs(spark)
     jobs.sync_silver(spark, raw, companies, *out)
     return partitions.read_partitioned(spark, out[2])
@@ -301,7 +302,7 @@ def q_incremental(spark, sf):
 def q_incremental_then_batch(spark, sf):
     """The stream syncs the first dates, the batch job the later ones and a late file; one ledger for both."""
     late = "(year >= '1996' or job_url like '%3')"
-    raw, companies = _landed_months(spark, sf, f"not {late}")
+    raw, companies = _landed(spark, sf, fixtures.monthly_postings(spark, sf).where(f"not {late}"))
     out = _outputs(spark)
     schema = partitions.read_partitioned(spark, raw).schema
     incremental.sync_once(spark, raw, schema, fixtures.companies(spark, sf), out[0], scratch_path(spark, "stream_ckpt"), out[1],

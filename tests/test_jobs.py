@@ -4,6 +4,7 @@ latest, and the tables equal the batch plans."""
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from hirewave import fixtures
 from hirewave.plans import jobs, silver
@@ -76,3 +77,12 @@ def test_sync_all_tables_of_a_database(spark, tmp_dir):
             jobs.sync_all(spark, "no_such", cpath, out)
     finally:
         spark.sql("DROP DATABASE IF EXISTS raw_boards CASCADE")
+
+
+@pytest.mark.slow
+def test_validation_table_has_a_row_for_every_day(spark):
+    from hirewave.plans.queries_io import q_validation_table
+
+    days = fixtures.postings(spark, SF).select("year", "month", "day").distinct()
+    got = q_validation_table(spark, SF).select("year", "month", "day")
+    assert got.count() == days.count() and got.exceptAll(days).count() == 0 and days.select("day").distinct().count() > 1
