@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from hirewave import fixtures
@@ -175,10 +176,13 @@ def q_silver_mixed(spark, sf):
 @register("silver_roundtrip", O.with_stages(
     "select * replace (array_to_string(hard_skills, '|') as hard_skills) from silver", "silver"))
 def q_silver_roundtrip(spark, sf):
-    u = silver.silver_unexploded(fixtures.postings(spark, sf), fixtures.companies(spark, sf))
+    u = silver.silver_unexploded(fixtures.postings(spark, sf), fixtures.companies(spark, sf)).persist(StorageLevel.MEMORY_AND_DISK)
     path = scratch_path(spark, "silver_clean")
-    writers.save_table(u, path, table="silver_postings_clean")
-    writers.save_table(u, path, table="silver_postings_clean")  # re-run: same table
+    try:  # built once, saved twice
+        writers.save_table(u, path, table="silver_postings_clean")
+        writers.save_table(u, path, table="silver_postings_clean")  # re-run: same table
+    finally:
+        u.unpersist()
     return flat(spark.table("silver_postings_clean"))
 
 

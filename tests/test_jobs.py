@@ -86,3 +86,14 @@ def test_validation_table_has_a_row_for_every_day(spark):
     days = fixtures.postings(spark, SF).select("year", "month", "day").distinct()
     got = q_validation_table(spark, SF).select("year", "month", "day")
     assert got.count() == days.count() and got.exceptAll(days).count() == 0 and days.select("day").distinct().count() > 1
+
+
+@pytest.mark.slow
+def test_roundtrip_saves_one_built_frame_twice(spark, monkeypatch):
+    from hirewave.plans.queries_io import q_silver_roundtrip
+
+    saved, save = [], writers.save_table
+    monkeypatch.setattr(writers, "save_table", lambda df, *a, **k: (saved.append((df, df.storageLevel.useDisk)), save(df, *a, **k)))
+    assert q_silver_roundtrip(spark, SF).count() > 0
+    assert len(saved) == 2 and saved[0][0] is saved[1][0] and all(kept for _, kept in saved)
+    assert not saved[0][0].storageLevel.useDisk
