@@ -197,10 +197,13 @@ def q_silver_republish(spark, sf):
     base = scratch_path(spark, "published")
     tables = [f"published_{base[-12:]}.clean", f"published_{base[-12:]}.exploded"]
     old = p.where("year < '1996'").unionByName(p.where("year = '1996'").withColumn("year", F.lit("1990")))
+    dates = [tuple(r) for r in old.unionByName(p).select(*P).distinct().collect()]  # bounded by the calendar
     for rows in (old, p):
         u = silver.silver_unexploded(rows, fixtures.companies(spark, sf))
-        dates = [tuple(r) for r in old.unionByName(p).select(*P).distinct().collect()]  # bounded by the calendar
-        publish.publish(spark, [publish.stage(f, t, f"{base}/{t}") for f, t in zip((u, silver.silver_exploded(u)), tables)], dates)
+        clean_rows = publish.stage(u, tables[0], f"{base}/{tables[0]}")
+        # the exploded table is made of the rows just written, which are not visible yet
+        written = partitions.read_partitioned(spark, clean_rows.path, u.schema).select(*u.columns)
+        publish.publish(spark, [clean_rows, publish.stage(silver.silver_exploded(written), tables[1], f"{base}/{tables[1]}")], dates)
     return flat(spark.table(tables[0]))
 
 

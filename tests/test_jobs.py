@@ -97,3 +97,16 @@ def test_roundtrip_saves_one_built_frame_twice(spark, monkeypatch):
     assert q_silver_roundtrip(spark, SF).count() > 0
     assert len(saved) == 2 and saved[0][0] is saved[1][0] and all(kept for _, kept in saved)
     assert not saved[0][0].storageLevel.useDisk
+
+
+@pytest.mark.slow
+def test_republish_explodes_the_rows_it_wrote(spark, monkeypatch):
+    from hirewave.plans.queries_io import q_silver_republish
+
+    given, explode = [], silver.silver_exploded
+    monkeypatch.setattr(silver, "silver_exploded", lambda u: (given.append(u), explode(u))[1])
+    q_silver_republish(spark, SF)
+    plans = [u._jdf.queryExecution().optimizedPlan().toString() for u in given]
+    assert len(plans) == 2 and not any("Join" in p or "Aggregate" in p for p in plans)
+    built = silver.silver_unexploded(fixtures.monthly_postings(spark, SF), fixtures.companies(spark, SF))
+    assert given[1].dtypes == built.dtypes and given[1].exceptAll(built).count() == 0 and given[1].count() == built.count()
