@@ -104,7 +104,7 @@ def sync_dates(spark: SparkSession, raw_root: str, files: DataFrame, states: Dat
                 # a count that reads footers alone
                 final_rows = written.groupBy(*P).agg(F.count(F.lit(1)).alias("n_rows"))
                 counted = quality.funnel_rows(todo.join(crawl.rows_by_date(crawled), P, "left"), final_rows, base, kept)
-                writers.write_partitioned(counted, out.validation_root)
+                writers.write_partitioned(counted, out.validation_root, few_rows=True)
         finally:
             if crawled is not None:
                 crawled.unpersist()

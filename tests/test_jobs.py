@@ -88,6 +88,15 @@ def test_validation_table_has_a_row_for_every_day(spark):
     assert got.count() == days.count() and got.exceptAll(days).count() == 0 and days.select("day").distinct().count() > 1
 
 
+def test_few_rows_a_date_are_written_by_many_tasks(spark, tmp_dir):
+    import glob
+
+    rows = spark.range(64).selectExpr("'2024' as year", "'01' as month", "cast(id as string) as day", "id as n")
+    writers.write_partitioned(rows, f"{tmp_dir}/t", few_rows=True)
+    tasks = {os.path.basename(f).split("-")[1] for f in glob.glob(f"{tmp_dir}/t/year=*/month=*/day=*/*.parquet")}
+    assert len(tasks) > 1 and partitions.read_partitioned(spark, f"{tmp_dir}/t").count() == 64
+
+
 @pytest.mark.slow
 def test_roundtrip_saves_one_built_frame_twice(spark, monkeypatch):
     from hirewave.plans.queries_io import q_silver_roundtrip
