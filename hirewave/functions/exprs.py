@@ -60,8 +60,9 @@ def skill_taxonomy_col(column: str = "hard_skills") -> Column:
 
 
 def skill_taxonomy_each(column: str = "hard_skills") -> Column:
-    """Skill chain applied to every element of an array column (``transform``)."""
-    return F.expr(f"transform({_q(column)}, skill -> {skill_taxonomy_sql('skill')})")
+    """Skill chain applied to every element of an array column (``transform``), each lower-cased once, not once a pattern."""
+    return F.expr(f"transform(transform({_q(column)}, x -> named_struct('skill', x, 'low', lower(x))), "
+                  f"p -> {skill_taxonomy_sql('p.skill', 'p.low')})")
 
 
 def skill_taxonomy(skill: Column) -> Column:
@@ -76,11 +77,12 @@ def skill_taxonomy(skill: Column) -> Column:
     return expr.otherwise(skill)
 
 
-def skill_taxonomy_sql(skill: str = "skill") -> str:
-    parts = ["CASE"]
+def skill_taxonomy_sql(skill: str = "skill", low: str | None = None) -> str:
+    """The chain on ``skill``; ``low`` names its lower case where that is at hand."""
+    low, parts = low or f"lower({skill})", ["CASE"]
     for label, patterns in rules.SKILL_RULES:
         cond = " OR ".join(
-            f"{skill if cs else f'lower({skill})'} LIKE {sql_str(p)}" for p, cs in patterns
+            f"{skill if cs else low} LIKE {sql_str(p)}" for p, cs in patterns
         )
         parts.append(f" WHEN {cond} THEN {sql_str(label)}")
     parts.append(f" ELSE {skill} END")

@@ -82,8 +82,8 @@ def add_title_cleaned(df: DataFrame) -> DataFrame:
 
 
 # CLN-17
-def add_verticals(df: DataFrame, column: str = "company_industry") -> DataFrame:
-    return df.withColumn("verticals", exprs.verticals(F.col(column)))
+def add_verticals(df: DataFrame, column: str = "company_industry", name: str = "verticals") -> DataFrame:
+    return df.withColumn(name, exprs.verticals(F.col(column)))
 
 
 # CLN-18

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirewave.functions import rules
@@ -26,26 +26,36 @@ from hirewave.operators import clean, enrich, ids, quality, skills
 P = rules.PARTITION_COLUMNS
 
 
-def project_silver(df: DataFrame) -> DataFrame:
-    """The fixed 43-column order; absent optional columns become typed NULLs."""
+def project_silver(df: DataFrame, *more: Column) -> DataFrame:
+    """The fixed 43-column order, then ``more``; absent optional columns become typed NULLs."""
     lower = {c.lower(): c for c in df.columns}
     cols = []
     for name in rules.SILVER_COLUMNS:
         src = lower.get(name.lower())
         cols.append(F.col(src).alias(name) if src is not None else clean.typed_null(name))
-    return df.select(*cols)
+    return df.select(*cols, *more)
+
+
+def _labelled(postings: DataFrame, companies: DataFrame, skills_mode: str) -> DataFrame:
+    """Cleaned rows joined to companies (one a name), both taxonomies applied."""
+    rows = clean.clean_rows(postings).transform(lambda d: skills.parse_skills(d, mode=skills_mode))
+    return clean.add_title_cleaned(skills.map_skills(enrich.join_companies(rows, companies)))
 
 
 def enriched(postings: DataFrame, companies_kept: DataFrame, skills_mode: str = "row") -> DataFrame:
     """Cleaned rows joined to companies, both taxonomies applied, projected."""
-    rows = clean.clean_rows(postings).transform(lambda d: skills.parse_skills(d, mode=skills_mode))
-    joined = enrich.join_companies(rows, enrich.one_per_name(companies_kept))
-    return project_silver(clean.add_title_cleaned(skills.map_skills(joined)))
+    return project_silver(_labelled(postings, enrich.one_per_name(companies_kept), skills_mode))
 
 
 def from_prepared(postings: DataFrame, companies_kept: DataFrame, skills_mode: str = "row") -> DataFrame:
-    """Silver, unexploded, with the companies that are left after the industry filter."""
-    return clean.drop_managers(clean.add_verticals(enriched(postings, companies_kept, skills_mode)))
+    """Silver, unexploded, with the companies that are left after the industry filter.
+
+    The vertical is worked out once a company, not once a posting; postings without a company have the default.
+    """
+    named = clean.add_verticals(enrich.one_per_name(companies_kept), name="_vertical")
+    rows = _labelled(postings, named, skills_mode)
+    vertical = F.coalesce(F.col("_vertical"), F.lit(rules.VERTICAL_DEFAULT)).alias("verticals")
+    return clean.drop_managers(project_silver(rows, vertical))
 
 
 def silver_unexploded(postings: DataFrame, companies: DataFrame, skills_mode: str = "row") -> DataFrame:

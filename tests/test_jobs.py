@@ -119,3 +119,14 @@ def test_republish_explodes_the_rows_it_wrote(spark, monkeypatch):
     assert len(plans) == 2 and not any("Join" in p or "Aggregate" in p for p in plans)
     built = silver.silver_unexploded(fixtures.monthly_postings(spark, SF), fixtures.companies(spark, SF))
     assert given[1].dtypes == built.dtypes and given[1].exceptAll(built).count() == 0 and given[1].count() == built.count()
+
+
+def test_silver_labels_verticals_by_company_and_lowers_a_skill_once(spark):
+    one = fixtures.postings(spark, SF).limit(3).withColumns({"company": F.expr("case when rid % 2 = 0 then 'A' end"), "title": F.lit("data engineer")})
+    companies = spark.createDataFrame([("A", "Banking"), ("B", None), (None, "Software")], "company_name string, company_industry string")
+    got = silver.silver_unexploded(one, companies)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    join, rule = plan.index("Join LeftOuter"), "Insurance|Life Science"
+    assert plan.count(rule) >= 1 and rule not in plan[:join]
+    assert plan.count("lower(") < 10
+    assert {(r.company, r.verticals) for r in got.collect()} <= {("A", "BFS_EDU_GOV"), (None, "None")}
