@@ -115,12 +115,15 @@ class Encoder:
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [self._cut(t or "") for t in texts]
-        words, odd = set().union(*(w for w, _ in split)), set().union(*(o for _, o in split))
-        fresh = words - self.known.keys()
+        found = [[*map(self.known.get, words)] for words, _ in split]
+        gaps = [(got, k, words[k]) for (words, _), got in zip(split, found) for k, ids in enumerate(got) if ids is None]
+        fresh = {word for _, _, word in gaps}
         if len(self.known) + len(fresh) > self.limit:
-            self.known, fresh = {}, words
-        self._learn(fresh, odd)
-        return [np.frombuffer(b"".join([*map(self.known.__getitem__, w), self.end]), dtype="<u4") for w, _ in split]
+            self.known = {}
+        self._learn(fresh, set().union(*(odd for _, odd in split)))
+        for got, k, word in gaps:
+            got[k] = self.known[word]
+        return [np.frombuffer(b"".join([*got, self.end]), dtype="<u4") for got in found]
 
 
 @lru_cache(maxsize=1)

@@ -134,6 +134,21 @@ def test_word_by_word_equals_the_whole_text(library):
             assert [x.tolist() for x in e(texts[i:i + 50])] == want[i:i + 50]
 
 
+def test_a_batch_does_not_go_over_all_words_kept(library):
+    class Kept(dict):
+        def keys(self):
+            raise AssertionError("goes over all words kept")
+
+        __iter__ = items = values = keys
+
+    with open(tf.default_tokenizer(), encoding="utf-8") as f:
+        encode = tf.Encoder(f.read(), 2)
+    encode.known = Kept(encode.known)
+    for texts in (["some words", "Some more, 你好"], ["words some more", None], ["words <|endoftext|> new", "你好 ﬁ"]):
+        assert [x.tolist() for x in encode(texts)] == [library.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+    assert type(encode.known) is Kept and {"some", "words", "new", "你好"} <= set(dict.keys(encode.known))
+
+
 def test_long_texts_repeated_rows_and_odd_columns(spark, library):
     docs = [(1, "some words " * 30_000), (2, "z" * 100_000), (2, "same"), (2, "same"), (2, "other"), (7, None)]
     df = frame(spark, docs).selectExpr("cast(doc_id as string) as `the.id`", "text as body", "1 as id", "2 as path", "3 as start")
